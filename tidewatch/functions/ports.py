@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed
 from tidewatch.functions.seismic import first_true, lookup
+from tidewatch.functions.text import has_word
 
 C = F.col
 
@@ -20,15 +21,15 @@ def bit(condition: Column) -> Column:
 
 
 def supply_bits() -> dict[str, Column]:
-    return {f: bit(F.upper(C(c)).isin(fixed.SUPPLY_WORDS)) for f, c in fixed.SUPPLY_FLAGS.items()}
+    return {f: has_word(c, fixed.SUPPLY_WORDS) for f, c in fixed.SUPPLY_FLAGS.items()}
 
 
 def communication_bits() -> dict[str, Column]:
-    return {f: bit(F.upper(C(c)) == "YES") for f, c in fixed.COMMUNICATION_FLAGS.items()}
+    return {f: has_word(c, ["YES"]) for f, c in fixed.COMMUNICATION_FLAGS.items()}
 
 
 def facility_bits() -> dict[str, Column]:
-    return {f: bit(F.upper(C(c)) == "YES") for f, c in fixed.FACILITY_FLAGS.items()}
+    return {f: has_word(c, ["YES"]) for f, c in fixed.FACILITY_FLAGS.items()}
 
 
 def total(bits: dict[str, Column]) -> Column:

@@ -56,18 +56,31 @@ def parse_best_effort(x: Column | str) -> Column:
     return F.coalesce(*tries, epoch)
 
 
-def blank_to_null(x: Column | str) -> Column:
-    return F.nullif(F.trim(_col(x)), F.lit(""))
+# The port functions below run over dozens of columns. They take a column name
+# and build one SQL expression each, which keeps plan construction short.
 
 
-def clean_categorical(x: Column | str) -> Column:
+def _quoted(words: list[str]) -> str:
+    return ", ".join("'" + w.replace("'", "\\'") + "'" for w in words)
+
+
+def blank_to_null(name: str) -> Column:
+    return F.expr(f"nullif(trim(`{name}`), '')")
+
+
+def clean_categorical(name: str) -> Column:
     """Trimmed category; the case-sensitive no-data words become NULL."""
-    text = F.trim(_col(x))
-    return F.when(~text.isin(fixed.EMPTY_CATEGORY_WORDS), text)
+    words = _quoted(fixed.EMPTY_CATEGORY_WORDS)
+    return F.expr(f"CASE WHEN trim(`{name}`) NOT IN ({words}) THEN trim(`{name}`) END")
+
 
+def zero_to_null(name: str) -> Column:
+    return F.expr(f"nullif(`{name}`, 0D)")
 
-def zero_to_null(x: Column | str) -> Column:
-    return F.nullif(_col(x), F.lit(0.0))
+
+def has_word(name: str, words: list[str]) -> Column:
+    """1 where the upper-cased value is one of the words, else 0 (NULL too)."""
+    return F.expr(f"CASE WHEN upper(`{name}`) IN ({_quoted(words)}) THEN 1 ELSE 0 END")
 
 
 def clean_status(x: Column | str) -> Column:
@@ -83,6 +96,15 @@ def name_key(x: Column | str) -> Column:
 # --- page text ---------------------------------------------------------------
 
 
+def strip(x: Column | str) -> Column:
+    """Without surrounding white space of any kind (``trim`` removes blanks only)."""
+    return F.trim(_col(x), F.lit(" \t\r\n"))
+
+
+def stripped_or_null(x: Column | str) -> Column:
+    return F.nullif(strip(x), F.lit(""))
+
+
 def _size_parts(x: Column | str) -> Column:
     return F.split(F.regexp_replace(_col(x), "m", ""), "/")
 
@@ -91,13 +113,13 @@ def parse_size(x: Column | str) -> tuple[Column, Column]:
     """``229 / 32 m`` as (length, beam) text; both NULL unless exactly two parts."""
     parts = _size_parts(x)
     pair = F.size(parts) == 2
-    return tuple(F.when(pair, blank_to_null(F.get(parts, F.lit(i)))) for i in (0, 1))
+    return tuple(F.when(pair, stripped_or_null(F.get(parts, F.lit(i)))) for i in (0, 1))
 
 
 def split_name_country(x: Column | str) -> tuple[Column, Column]:
     """``Port, Country`` as two trimmed texts; a missing country is NULL."""
     parts = F.split(_col(x), ",")
-    return blank_to_null(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
+    return stripped_or_null(F.get(parts, F.lit(0))), strip(F.get(parts, F.lit(1)))
 
 
 def parse_coord_sentence(x: Column | str) -> tuple[Column, Column]:
@@ -106,11 +128,11 @@ def parse_coord_sentence(x: Column | str) -> tuple[Column, Column]:
     First line only; the latitude is the last word before the first comma, the
     longitude follows the last comma. No comma gives NULL for both.
     """
-    line = F.get(F.split(F.trim(_col(x)), "\n"), F.lit(0))
+    line = F.get(F.split(strip(x), "\n"), F.lit(0))
     parts = F.split(line, ",")
     found = F.size(parts) >= 2
-    lat = F.element_at(F.split(F.trim(F.get(parts, F.lit(0))), r"\s+"), -1)
-    lon = F.regexp_replace(F.trim(F.element_at(parts, -1)), r"\.+$", "")
+    lat = F.element_at(F.split(strip(F.get(parts, F.lit(0))), r"\s+"), -1)
+    lon = F.regexp_replace(strip(F.element_at(parts, -1)), r"\.+$", "")
     return F.when(found, lat), F.when(found, lon)
 
 
@@ -118,4 +140,4 @@ def nav_status(x: Column | str) -> Column:
     """The line that follows ``Navigation Status``."""
     text = _col(x)
     pattern = r"Navigation Status\n([^\n]*)\n"
-    return F.when(text.rlike(pattern), F.trim(F.regexp_extract(text, pattern, 1)))
+    return F.when(text.rlike(pattern), strip(F.regexp_extract(text, pattern, 1)))

@@ -81,13 +81,16 @@ def net_actions(messages: DataFrame, key: str = "unid", sequence: str = "seq") -
 
 
 def apply_effects(target: DataFrame, effects: DataFrame, key: str = "unid") -> DataFrame:
-    """Target after the net effects of :func:`net_actions`."""
-    rows = effects.select(*[c for c in effects.columns if c != "_effect"], "_effect")
-    doomed = rows.filter(C("_effect").isin("put", "drop"))
-    kept = _anti(target, doomed, [key])
-    additions = _anti(rows.filter(C("_effect") == "add"), target, [key])
-    fresh = rows.filter(C("_effect") == "put").unionByName(additions)
-    return kept.unionByName(fresh.select(*target.columns))
+    """Target after the net effects of :func:`net_actions`; one join of the two by key."""
+    names = target.columns
+    held = target.filter(C(key).isNotNull()).select(C(key).alias("_k"), F.struct(*names).alias("_t"))
+    new = effects.select(C(key).alias("_k"), F.struct(*names).alias("_e"), "_effect")
+    after = F.when(C("_effect") == "put", C("_e")).when(
+        C("_effect").isNull() | (C("_effect") == "add"), F.coalesce("_t", "_e")
+    )
+    merged = held.join(new, "_k", "full_outer").select(after.alias("r")).filter(C("r").isNotNull()).select("r.*")
+    # rows without a key match nothing and stay out of the shuffle
+    return merged.unionByName(target.filter(C(key).isNull()))
 
 
 def apply_event_actions(target: DataFrame, messages: DataFrame, key: str = "unid", sequence: str = "seq") -> DataFrame:

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import nav_status, parse_coord_sentence, parse_size, split_name_country
+from tidewatch.functions.text import (
+    nav_status, parse_coord_sentence, parse_size, split_name_country, strip, stripped_or_null,
+)
 from tidewatch.operators.joins import dimension_join
 
 C = F.col
@@ -28,11 +30,7 @@ def plain_text(html: Column, separator: str = "") -> Column:
 def lines_of(html: Column) -> Column:
     """Non-empty trimmed text lines, one per text node or line break."""
     parts = F.split(plain_text(html, "\n"), "\n")
-    return F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
-
-
-def _none_if_empty(x: Column) -> Column:
-    return F.nullif(F.trim(x), F.lit(""))
+    return F.filter(F.transform(parts, strip), lambda p: p != "")
 
 
 def _group(html: Column, pattern: str, idx: int = 1) -> Column:
@@ -62,14 +60,14 @@ def extract_list_rows(pages: DataFrame, base_url: str, page_type: Column) -> Dat
         C("_href").isNotNull()
     )
     head = linked.withColumn("_l", lines_of(C("_c")[0]))
-    length, beam = parse_size(F.trim(plain_text(C("_c")[4])))
+    length, beam = parse_size(strip(plain_text(C("_c")[4])))
     return head.select(
         C("url").alias("list_url"),
         F.get("_l", F.lit(0)).alias("name"),
         F.coalesce(F.get("_l", F.lit(1)), "_type").alias("type"),
-        _none_if_empty(plain_text(C("_c")[1])).alias("year_built"),
-        _none_if_empty(plain_text(C("_c")[2])).alias("gross_tonnage"),
-        _none_if_empty(plain_text(C("_c")[3])).alias("deadweight"),
+        stripped_or_null(plain_text(C("_c")[1])).alias("year_built"),
+        stripped_or_null(plain_text(C("_c")[2])).alias("gross_tonnage"),
+        stripped_or_null(plain_text(C("_c")[3])).alias("deadweight"),
         length.alias("length(m)"),
         beam.alias("beam(m)"),
         absolute(C("_href"), base_url).alias("detail_link"),
@@ -82,7 +80,7 @@ def _block(kind: str) -> Column:
 
 
 def _value(block: Column) -> Column:
-    return F.trim(plain_text(_group(block, r'(?is)<div class="_value">(.*?)</div>')))
+    return strip(plain_text(_group(block, r'(?is)<div class="_value">(.*?)</div>')))
 
 
 def extract_detail_fields(pages: DataFrame) -> DataFrame:

@@ -87,12 +87,12 @@ def prune_ports(bronze: DataFrame) -> DataFrame:
 
     kept = [
         raw("WORLD_PORT_INDEX_NUMBER").alias("WORLD_PORT_INDEX_NUMBER"),
-        *[text.blank_to_null(raw(c)).alias(c) for c in fixed.PORT_TEXT_KEPT],
+        *[text.blank_to_null(names[c]).alias(c) for c in fixed.PORT_TEXT_KEPT],
         raw("LATITUDE").alias("LATITUDE"),
         raw("LONGITUDE").alias("LONGITUDE"),
         geo.valid_coordinates(raw("LATITUDE"), raw("LONGITUDE")).alias("IS_VALID_COORDINATES"),
-        *[text.zero_to_null(raw(source)).alias(c) for c, source in fixed.PORT_MEASURE_KEPT.items()],
-        *[text.clean_categorical(raw(c)).alias(c) for c in fixed.PORT_CATEGORY_KEPT],
+        *[text.zero_to_null(names[source]).alias(c) for c, source in fixed.PORT_MEASURE_KEPT.items()],
+        *[text.clean_categorical(names[c]).alias(c) for c in fixed.PORT_CATEGORY_KEPT],
     ]
     order = [raw(c).alias(c) for c in ("OID_", "_LOADED_AT") if c in names]
     return bronze.select(*kept, *order)

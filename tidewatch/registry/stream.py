@@ -1,0 +1,196 @@
+"""Streaming queries (R): a file stream over the staged table, run to its end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewatch import adapters as A
+from tidewatch import fixed, schemas
+from tidewatch.operators import aggregates, merge
+from tidewatch.plans import silver
+from tidewatch.registry.base import query
+from tidewatch.registry.common import Domain
+from tidewatch.registry.sql import replaced
+from tidewatch.session import scratch
+from tidewatch.sources import readers
+from tidewatch.sources.keyed import KeyedTable
+from tidewatch.streaming import cdc, events
+
+C = F.col
+
+FILES = 3  # micro-batches per stream
+
+
+def staged(spark, df, name: str):
+    """The whole frame as a file stream in ``seq`` order, one file per micro-batch.
+
+    A file stream takes files by age, so the slices are written one after the
+    other.
+    """
+    path = scratch(spark, f"stage-{name}")
+    low, high = df.agg(F.min("seq"), F.max("seq")).first()
+    slice_ = F.floor((C("seq") - low) * FILES / (high - low + 1))
+    for i in range(FILES):
+        df.filter(slice_ == i).coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _done(running) -> None:
+    running.awaitTermination()
+
+
+_KEPT = "coalesce(__deleted, '') <> 'true'"
+_NET = (
+    "SELECT unid, source_id, action FROM (SELECT s.*, row_number() OVER (PARTITION BY s.unid ORDER BY s.seq) AS n"
+    " FROM x_live s JOIN (SELECT unid, max(seq) FILTER (WHERE action <> 'create') AS last,"
+    " arg_max(action, seq) FILTER (WHERE action <> 'create') AS how FROM x_live GROUP BY unid) k USING (unid)"
+    " WHERE (k.how = 'update' AND s.seq = k.last) OR (s.action = 'create' AND (k.how IS NULL"
+    " OR (k.how = 'delete' AND s.seq > k.last)))) WHERE n = 1"
+)
+
+
+def _event_table(spark, name: str) -> KeyedTable:
+    schema = T.StructType([*schemas.EVENT_ROW.fields, T.StructField("seq", T.LongType())])
+    return KeyedTable(spark, scratch(spark, name), schema, ["unid"], buckets=8)
+
+
+@query("r1_apply_event_actions", _NET)
+def r1(spark, sf_dir):
+    """Net effect of all messages on an empty table, as one batch."""
+    messages = readers.parse_event_messages(A.event_messages(spark, sf_dir), carry=("seq",))
+    empty = spark.createDataFrame([], messages.schema)
+    return merge.apply_event_actions(empty, messages).select("unid", "source_id", "action")
+
+
+@query("r1_stream_upserts", _NET)
+def r1_stream(spark, sf_dir):
+    """The same messages as a stream into a keyed table."""
+    stream = readers.parse_event_messages(staged(spark, A.event_messages(spark, sf_dir), "messages"), carry=("seq",))
+    table = _event_table(spark, "upserts")
+    _done(events.upsert_events(stream, table, scratch(spark, "cp")))
+    return table.read().select("unid", "source_id", "action")
+
+
+_ROW = ", ".join(fixed.EVENT_COLUMNS)
+
+
+@query("r2_unwrap_cdc", f"SELECT seq, {_ROW}, coalesce(__deleted, 'false') AS __deleted FROM x_live WHERE seq % 41 <> 0")
+def r2(spark, sf_dir):
+    """Envelopes to rows; deletes are marked, tombstones dropped."""
+    return cdc.unwrap_cdc(A.envelopes(spark, sf_dir), carry=("seq",))
+
+
+_LIVE = f"SELECT {', '.join('time AS event_time' if c == 'time' else c for c in fixed.EVENT_COLUMNS)} FROM x_live WHERE {_KEPT}"
+
+
+@query("r3_live_events", _LIVE)
+def r3(spark, sf_dir):
+    """Every kept version appended."""
+    path = scratch(spark, "live")
+    stream = cdc.live_events(staged(spark, A.live(spark, sf_dir), "live"))
+    _done(cdc.write_cdc_append(stream, path, scratch(spark, "cp")))
+    return spark.read.parquet(path)
+
+
+@query("r4_skip_broken", f"SELECT {_ROW} FROM x_live")
+def r4(spark, sf_dir):
+    """A stream in which every message is followed by a broken one."""
+    good = A.event_messages(spark, sf_dir)
+    both = good.unionByName(good.withColumn("value", F.substring("value", 1, 9)))
+    path = scratch(spark, "unbroken")
+    stream = readers.parse_event_messages(staged(spark, both, "broken"))
+    _done(cdc.write_cdc_append(stream, path, scratch(spark, "cp")))
+    return spark.read.parquet(path)
+
+
+_SILVER = replaced("y_events", stamps="EARTHQUAKE_TIME LAST_UPDATED_AT LOADED_AT")
+
+
+@query("r5_merge_revisions", _SILVER)
+def r5(spark, sf_dir):
+    """Events cleaned up to mid-month, then everything within 24 hours before and after merged in."""
+    bronze = Domain(spark, sf_dir).seismic()
+    held = silver.silver_seismic_events(bronze.filter("lastupdate < timestamp '2024-01-16'"), A.AS_OF)
+    newest = aggregates.high_watermark(held, "LAST_UPDATED_AT")
+    fresh = silver.silver_seismic_events(bronze, A.AS_OF, newest)
+    return merge.merge_incremental(held, fresh, ["EVENT_ID"])
+
+
+@query("r5_follow_revisions", _SILVER)
+def r5_stream(spark, sf_dir):
+    """The cleaned events kept current by a stream."""
+    changes = A.seismic(spark, sf_dir)
+    schema = silver.silver_seismic_events(changes, A.AS_OF).schema
+    table = KeyedTable(spark, scratch(spark, "revisions"), schema, ["EVENT_ID"], buckets=8)
+    _done(events.follow_revisions(staged(spark, changes, "changes"), table, scratch(spark, "cp"), A.AS_OF))
+    return table.read()
+
+
+@query("r6_backfill_then_stream", _NET)
+def r6(spark, sf_dir):
+    """All created rows as history, then all messages; the overlap adds nothing."""
+    messages = A.event_messages(spark, sf_dir)
+    history = readers.parse_event_messages(messages, carry=("seq",)).filter("action = 'create'")
+    stream = readers.parse_event_messages(staged(spark, messages, "messages"), carry=("seq",))
+    table = _event_table(spark, "backfilled")
+    _done(events.backfill_then_stream(history, stream, table, scratch(spark, "cp")))
+    return table.read().select("unid", "source_id", "action")
+
+
+@query("r7_snapshot_then_changes", _LIVE)
+def r7(spark, sf_dir):
+    """Created rows as the snapshot, the others as changes."""
+    rows, path = A.live(spark, sf_dir), scratch(spark, "snapshot-live")
+    snapshot, changes = rows.filter("action = 'create'"), rows.filter("action <> 'create'")
+    _done(cdc.snapshot_then_changes(snapshot, staged(spark, changes, "changes"), path, scratch(spark, "cp")))
+    return cdc.read_live(spark, path)
+
+
+def _live_stream(spark, sf_dir):
+    return cdc.live_events(staged(spark, A.live(spark, sf_dir), "live"))
+
+
+@query(
+    "r8_live_histogram",
+    "SELECT category, count(*) AS count FROM (SELECT CASE WHEN mag < 2 THEN 'Minor (<2)' WHEN mag < 4 THEN 'Light (2-4)'"
+    f" WHEN mag < 6 THEN 'Moderate (4-6)' ELSE 'Strong (6+)' END AS category FROM x_live WHERE {_KEPT}"
+    " AND mag IS NOT NULL) GROUP BY category",
+)
+def r8_histogram(spark, sf_dir):
+    """Running magnitude histogram."""
+    path = scratch(spark, "histogram")
+    _done(events.live_counts(_live_stream(spark, sf_dir), "histogram", path, scratch(spark, "cp")))
+    return events.newest_counts(spark, path)
+
+
+@query("r8_live_days", f"SELECT substr(time, 1, 10) AS day, count(*) AS earthquakes FROM x_live WHERE {_KEPT} GROUP BY 1")
+def r8_days(spark, sf_dir):
+    """Running counts per day."""
+    path = scratch(spark, "days")
+    _done(events.live_counts(_live_stream(spark, sf_dir), "days", path, scratch(spark, "cp")))
+    return events.newest_counts(spark, path)
+
+
+@query(
+    "r9_strong_event_alerts",
+    "SELECT lat AS latitude, lon AS longitude, mag AS magnitude, flynn_region AS title FROM x_live"
+    f" WHERE {_KEPT} AND mag >= 5.5",
+)
+def r9(spark, sf_dir):
+    """Strong events as they come."""
+    path = scratch(spark, "alerts")
+    _done(events.follow_alerts(_live_stream(spark, sf_dir), path, scratch(spark, "cp")))
+    return spark.read.parquet(path)
+
+
+@query(
+    "r10_live_strongest",
+    f"SELECT source_id, mag, flynn_region FROM x_live WHERE {_KEPT} ORDER BY mag DESC NULLS LAST, source_id LIMIT 10",
+)
+def r10(spark, sf_dir):
+    """The ten strongest so far."""
+    stream = _live_stream(spark, sf_dir)
+    table = events.strongest_table(spark, scratch(spark, "strongest"), stream.schema)
+    _done(events.follow_strongest(stream, table, scratch(spark, "cp")))
+    return table.read().select("source_id", "mag", "flynn_region")

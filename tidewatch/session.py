@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizer.rebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # the call site of every column expression is not looked up
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -63,11 +63,15 @@ def layer_table(layer: str | None, name: str, default: str = "default") -> str:
     return f"{layer.strip().upper() if layer is not None else default}.{name}"
 
 
-def materialize_table(df: DataFrame, layer: str | None, name: str) -> DataFrame:
-    """Full refresh of a managed table; returns a reader of it."""
+def materialize_table(df: DataFrame, layer: str | None, name: str, location: str | None = None) -> DataFrame:
+    """Full refresh of a managed table; returns a reader of it.
+
+    ``location`` is where the layer's database is created if it is new.
+    """
     spark = df.sparkSession
     table = layer_table(layer, name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}{place}")
     df.write.mode("overwrite").saveAsTable(table)
     return spark.table(table)
 

@@ -79,3 +79,16 @@ def write_cdc_append(stream: DataFrame, path: str, checkpoint: str, trigger: dic
         .trigger(**(trigger or {"availableNow": True}))
         .start(path)
     )
+
+
+def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Write the table's present rows, then follow its changes; read both with :func:`read_live`.
+
+    They lie in separate folders, since a stream's folder lists its own files only.
+    """
+    live_events(snapshot).write.mode("overwrite").parquet(f"{path}/snapshot")
+    return write_cdc_append(live_events(changes), f"{path}/changes", checkpoint, trigger)
+
+
+def read_live(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/snapshot").unionByName(spark.read.parquet(f"{path}/changes"))
