@@ -76,7 +76,7 @@ def salted_join(
     spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id() * 7919, F.col("_slices"))
     sliced = _with_slices(left, hot, keys).withColumn("_slice", spread.cast("int")).drop("_slices")
     copies = (
-        _with_slices(right.dropna(subset=keys), hot.dropna(subset=keys), keys)
+        _with_slices(right.dropna(subset=keys), hot, keys)
         .withColumn("_r_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
         .drop("_slices")
         .withColumnsRenamed({k: f"_r_{k}" for k in keys})

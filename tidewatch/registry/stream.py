@@ -15,29 +15,26 @@ from tidewatch.registry.sql import replaced
 from tidewatch.session import scratch
 from tidewatch.sources import readers
 from tidewatch.sources.keyed import KeyedTable
+from tidewatch.sources.writers import materialize_path
 from tidewatch.streaming import cdc, events
 
 C = F.col
 
-FILES = 3  # micro-batches per stream
+SLICES = 3  # arrivals per feed
 
 
-def staged(spark, df, name: str):
-    """The whole frame as a file stream in ``seq`` order, one file per micro-batch.
+def feed(spark, df, name: str, start) -> None:
+    """Let the whole frame arrive in ``seq`` order, in slices, and run the stream after each.
 
-    A file stream takes files by age, so the slices are written one after the
-    other.
+    ``start(stream)`` starts the query; as it keeps its checkpoint, every run
+    goes on where the last one ended.
     """
-    path = scratch(spark, f"stage-{name}")
+    path = scratch(spark, f"feed-{name}")
     low, high = df.agg(F.min("seq"), F.max("seq")).first()
-    slice_ = F.floor((C("seq") - low) * FILES / (high - low + 1))
-    for i in range(FILES):
-        df.filter(slice_ == i).coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def _done(running) -> None:
-    running.awaitTermination()
+    slice_ = F.floor((C("seq") - low) * SLICES / (high - low + 1))
+    for i in range(SLICES):
+        df.filter(slice_ == i).write.mode("append").parquet(path)
+        start(spark.readStream.schema(df.schema).parquet(path)).awaitTermination()
 
 
 _KEPT = "coalesce(__deleted, '') <> 'true'"
@@ -58,7 +55,8 @@ def _event_table(spark, name: str) -> KeyedTable:
 @query("r1_apply_event_actions", _NET)
 def r1(spark, sf_dir):
     """Net effect of all messages on an empty table, as one batch."""
-    messages = readers.parse_event_messages(A.event_messages(spark, sf_dir), carry=("seq",))
+    parsed = readers.parse_event_messages(A.event_messages(spark, sf_dir), carry=("seq",))
+    messages = materialize_path(parsed, scratch(spark, "messages"))  # read three times below
     empty = spark.createDataFrame([], messages.schema)
     return merge.apply_event_actions(empty, messages).select("unid", "source_id", "action")
 
@@ -66,9 +64,9 @@ def r1(spark, sf_dir):
 @query("r1_stream_upserts", _NET)
 def r1_stream(spark, sf_dir):
     """The same messages as a stream into a keyed table."""
-    stream = readers.parse_event_messages(staged(spark, A.event_messages(spark, sf_dir), "messages"), carry=("seq",))
-    table = _event_table(spark, "upserts")
-    _done(events.upsert_events(stream, table, scratch(spark, "cp")))
+    table, cp = _event_table(spark, "upserts"), scratch(spark, "cp")
+    feed(spark, A.event_messages(spark, sf_dir), "messages", lambda messages: events.upsert_events(
+        readers.parse_event_messages(messages, carry=("seq",)), table, cp))
     return table.read().select("unid", "source_id", "action")
 
 
@@ -87,9 +85,8 @@ _LIVE = f"SELECT {', '.join('time AS event_time' if c == 'time' else c for c in
 @query("r3_live_events", _LIVE)
 def r3(spark, sf_dir):
     """Every kept version appended."""
-    path = scratch(spark, "live")
-    stream = cdc.live_events(staged(spark, A.live(spark, sf_dir), "live"))
-    _done(cdc.write_cdc_append(stream, path, scratch(spark, "cp")))
+    path, cp = scratch(spark, "live"), scratch(spark, "cp")
+    feed(spark, A.live(spark, sf_dir), "live", lambda rows: cdc.write_cdc_append(cdc.live_events(rows), path, cp))
     return spark.read.parquet(path)
 
 
@@ -98,9 +95,8 @@ def r4(spark, sf_dir):
     """A stream in which every message is followed by a broken one."""
     good = A.event_messages(spark, sf_dir)
     both = good.unionByName(good.withColumn("value", F.substring("value", 1, 9)))
-    path = scratch(spark, "unbroken")
-    stream = readers.parse_event_messages(staged(spark, both, "broken"))
-    _done(cdc.write_cdc_append(stream, path, scratch(spark, "cp")))
+    path, cp = scratch(spark, "unbroken"), scratch(spark, "cp")
+    feed(spark, both, "broken", lambda rows: cdc.write_cdc_append(readers.parse_event_messages(rows), path, cp))
     return spark.read.parquet(path)
 
 
@@ -123,7 +119,8 @@ def r5_stream(spark, sf_dir):
     changes = A.seismic(spark, sf_dir)
     schema = silver.silver_seismic_events(changes, A.AS_OF).schema
     table = KeyedTable(spark, scratch(spark, "revisions"), schema, ["EVENT_ID"], buckets=8)
-    _done(events.follow_revisions(staged(spark, changes, "changes"), table, scratch(spark, "cp"), A.AS_OF))
+    cp = scratch(spark, "cp")
+    feed(spark, changes, "changes", lambda rows: events.follow_revisions(rows, table, cp, A.AS_OF))
     return table.read()
 
 
@@ -132,9 +129,9 @@ def r6(spark, sf_dir):
     """All created rows as history, then all messages; the overlap adds nothing."""
     messages = A.event_messages(spark, sf_dir)
     history = readers.parse_event_messages(messages, carry=("seq",)).filter("action = 'create'")
-    stream = readers.parse_event_messages(staged(spark, messages, "messages"), carry=("seq",))
-    table = _event_table(spark, "backfilled")
-    _done(events.backfill_then_stream(history, stream, table, scratch(spark, "cp")))
+    table, cp = _event_table(spark, "backfilled"), scratch(spark, "cp")
+    feed(spark, messages, "messages", lambda rows: events.backfill_then_stream(
+        history, readers.parse_event_messages(rows, carry=("seq",)), table, cp))
     return table.read().select("unid", "source_id", "action")
 
 
@@ -143,12 +140,13 @@ def r7(spark, sf_dir):
     """Created rows as the snapshot, the others as changes."""
     rows, path = A.live(spark, sf_dir), scratch(spark, "snapshot-live")
     snapshot, changes = rows.filter("action = 'create'"), rows.filter("action <> 'create'")
-    _done(cdc.snapshot_then_changes(snapshot, staged(spark, changes, "changes"), path, scratch(spark, "cp")))
+    cp = scratch(spark, "cp")
+    feed(spark, changes, "changes", lambda new: cdc.snapshot_then_changes(snapshot, new, path, cp))
     return cdc.read_live(spark, path)
 
 
-def _live_stream(spark, sf_dir):
-    return cdc.live_events(staged(spark, A.live(spark, sf_dir), "live"))
+def _feed_live(spark, sf_dir, start) -> None:
+    feed(spark, A.live(spark, sf_dir), "live", lambda rows: start(cdc.live_events(rows)))
 
 
 @query(
@@ -159,16 +157,16 @@ def _live_stream(spark, sf_dir):
 )
 def r8_histogram(spark, sf_dir):
     """Running magnitude histogram."""
-    path = scratch(spark, "histogram")
-    _done(events.live_counts(_live_stream(spark, sf_dir), "histogram", path, scratch(spark, "cp")))
+    path, cp = scratch(spark, "histogram"), scratch(spark, "cp")
+    _feed_live(spark, sf_dir, lambda live: events.live_counts(live, "histogram", path, cp))
     return events.newest_counts(spark, path)
 
 
 @query("r8_live_days", f"SELECT substr(time, 1, 10) AS day, count(*) AS earthquakes FROM x_live WHERE {_KEPT} GROUP BY 1")
 def r8_days(spark, sf_dir):
     """Running counts per day."""
-    path = scratch(spark, "days")
-    _done(events.live_counts(_live_stream(spark, sf_dir), "days", path, scratch(spark, "cp")))
+    path, cp = scratch(spark, "days"), scratch(spark, "cp")
+    _feed_live(spark, sf_dir, lambda live: events.live_counts(live, "days", path, cp))
     return events.newest_counts(spark, path)
 
 
@@ -179,8 +177,8 @@ def r8_days(spark, sf_dir):
 )
 def r9(spark, sf_dir):
     """Strong events as they come."""
-    path = scratch(spark, "alerts")
-    _done(events.follow_alerts(_live_stream(spark, sf_dir), path, scratch(spark, "cp")))
+    path, cp = scratch(spark, "alerts"), scratch(spark, "cp")
+    _feed_live(spark, sf_dir, lambda live: events.follow_alerts(live, path, cp))
     return spark.read.parquet(path)
 
 
@@ -190,7 +188,7 @@ def r9(spark, sf_dir):
 )
 def r10(spark, sf_dir):
     """The ten strongest so far."""
-    stream = _live_stream(spark, sf_dir)
-    table = events.strongest_table(spark, scratch(spark, "strongest"), stream.schema)
-    _done(events.follow_strongest(stream, table, scratch(spark, "cp")))
+    table = events.strongest_table(spark, scratch(spark, "strongest"), A.schema_of_live())
+    cp = scratch(spark, "cp")
+    _feed_live(spark, sf_dir, lambda live: events.follow_strongest(live, table, cp))
     return table.read().select("source_id", "mag", "flynn_region")

@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizer.rebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # wide projections would fuse into methods the JIT compiler refuses (over
+    # 8,000 bytes of bytecode); beyond the limit Spark splits them up instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # the call site of every column expression is not looked up
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
