@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import fixed, schemas
 
@@ -11,17 +12,24 @@ C = F.col
 
 
 def read_ports(spark: SparkSession, path: str) -> DataFrame:
-    """Port directory CSV, by position; malformed lines are skipped."""
-    # Malformed lines must not depend on which columns a query selects.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return (
-        spark.read.schema(schemas.PORTS)
+    """Port directory CSV, by position; malformed lines are skipped.
+
+    Every line is parsed in full, so that which lines are skipped does not
+    depend on the columns a query selects. For the same reason the filter
+    touches a data column: Spark parses nothing for a bare row count.
+    """
+    raw = (
+        spark.read.schema(T.StructType([*schemas.PORTS.fields, T.StructField("_bad", T.StringType())]))
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", '"')
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_bad")
+        .option("columnPruning", False)
         .csv(path)
     )
+    parsed = C("OID_").isNull() | (C("OID_") >= float("-inf"))
+    return raw.filter(C("_bad").isNull() & parsed).drop("_bad")
 
 
 def vessels_path(root: str, day: str) -> str:
