@@ -68,11 +68,16 @@ def events_per_day(live: DataFrame) -> DataFrame:
     return dated.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("earthquakes"))
 
 
-def magnitude_series(live: DataFrame) -> DataFrame:
-    """Time and magnitude of every dated version, unordered."""
-    return live.filter(C("event_time").isNotNull()).select(
-        parse_best_effort("event_time").alias("time"), C("mag").alias("magnitude")
-    )
+def magnitude_series(live: DataFrame, ordered: bool = False) -> DataFrame:
+    """Time and magnitude of every dated version.
+
+    ``ordered`` sorts by time and then source id, so that a second with very
+    many rows can still be cut into several sort ranges.
+    """
+    dated = live.filter(C("event_time").isNotNull()).withColumn("time", parse_best_effort("event_time"))
+    if ordered:
+        dated = dated.orderBy(C("time").asc_nulls_last(), C("source_id").asc_nulls_last())
+    return dated.select("time", C("mag").alias("magnitude"))
 
 
 def strongest_events(live: DataFrame, n: int = fixed.STRONGEST_SHOWN) -> DataFrame:

@@ -23,7 +23,7 @@ def live_seismic_monitor(live: DataFrame, latest: bool = False) -> dict[str, Dat
     return {
         "map": filters.mapped_points(rows),
         "alerts": filters.strong_event_alerts(rows),
-        "magnitude_series": aggregates.magnitude_series(rows).orderBy(C("time").asc_nulls_last()),
+        "magnitude_series": aggregates.magnitude_series(rows, ordered=True),
         "intensity_histogram": aggregates.intensity_histogram(rows),
         "events_per_day": aggregates.events_per_day(rows).orderBy("day"),
         "strongest": aggregates.strongest_events(rows),

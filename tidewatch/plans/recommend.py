@@ -12,6 +12,7 @@ from tidewatch.operators.compatible import top_compatible
 from tidewatch.operators.dedup import active_vessels
 from tidewatch.operators.filters import below_risk_cutoff, valid_ports, within_lookback
 from tidewatch.plans import gold
+from tidewatch.sources.writers import staged
 
 C = F.col
 
@@ -101,10 +102,13 @@ def port_recommendations(
     gold_vessels: DataFrame, gold_ports: DataFrame, facilities: DataFrame, proximity: DataFrame, events: DataFrame,
     as_of: str, n: int = fixed.TOP_PORTS,
 ) -> DataFrame:
-    """Recommendations from the stored gold tables."""
-    risk = aggregates.max_port_risk(proximity, events, as_of)
-    prepared = prepare_ports(scoring_ports(gold_ports, facilities), risk)
-    return recommend(active_vessels(gold_vessels), prepared, as_of, n)
+    """Recommendations from the stored gold tables.
+
+    The three inputs of the ranking are read several times and are staged.
+    """
+    risk = staged(aggregates.max_port_risk(proximity, events, as_of), "port-risk")
+    prepared = staged(prepare_ports(scoring_ports(gold_ports, facilities), risk), "scored-ports")
+    return recommend(staged(active_vessels(gold_vessels), "active-vessels"), prepared, as_of, n)
 
 
 def recent_port_risk(events: DataFrame, silver_ports: DataFrame, as_of: str) -> DataFrame:

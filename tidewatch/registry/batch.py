@@ -15,8 +15,7 @@ from tidewatch.registry.common import Domain
 from tidewatch.registry.sql import (
     day, haversine, in_year, month_day, name_key, real, recode, replaced, rnd, sk, stamp, whole, words,
 )
-from tidewatch.session import scratch
-from tidewatch.sources.writers import materialize_path
+from tidewatch.sources.writers import staged
 
 C = F.col
 
@@ -530,19 +529,18 @@ def j8(spark, sf_dir):
     """Port risk by normalised name."""
     d = Domain(spark, sf_dir)
     ports_ = filters.valid_ports(d.gold_ports()).select("WORLD_PORT_INDEX_NUMBER", "MAIN_PORT_NAME")
-    return joins.attach_risk(ports_, recommend.recent_port_risk(d.gold_events(), d.silver_ports(), A.AS_OF))
+    risk = staged(recommend.recent_port_risk(d.gold_events(), d.silver_ports(), A.AS_OF), "port-risk")
+    return joins.attach_risk(ports_, risk)
 
 
 def _asked(d: Domain):
     active = dedup.active_vessels(d.gold_vessels())
-    return materialize_path(
-        active.select("NAME", "TYPE", "LENGTH_M", "BEAM_M", vessels.required_facility(C("TYPE")).alias("REQUIRED_FACILITY")),
-        scratch(d.spark, "asked"),
-    )
+    need = vessels.required_facility(C("TYPE")).alias("REQUIRED_FACILITY")
+    return staged(active.select("NAME", "TYPE", "LENGTH_M", "BEAM_M", need), "asked")
 
 
 def _prepared(d: Domain):
-    return materialize_path(d.prepared_ports(), scratch(d.spark, "prepared"))
+    return staged(d.prepared_ports(), "scored-ports")
 
 
 @query(
@@ -768,7 +766,7 @@ def t1(spark, sf_dir):
 @query("t2_magnitude_series", f"SELECT time, mag AS magnitude FROM x_live WHERE {_KEPT} ORDER BY time")
 def t2(spark, sf_dir):
     """Magnitudes in time order."""
-    return aggregates.magnitude_series(Domain(spark, sf_dir).live()).orderBy(C("time").asc_nulls_last())
+    return aggregates.magnitude_series(Domain(spark, sf_dir).live(), ordered=True)
 
 
 @query(

@@ -6,6 +6,7 @@ import functools
 
 from tidewatch import adapters as A
 from tidewatch.plans import gold, recommend, silver, star
+from tidewatch.sources.writers import staged
 
 
 def once(method):
@@ -116,5 +117,5 @@ class Domain:
 
     @once
     def prepared_ports(self):
-        risk = recommend.recent_port_risk(self.gold_events(), self.silver_ports(), A.AS_OF)
+        risk = staged(recommend.recent_port_risk(self.gold_events(), self.silver_ports(), A.AS_OF), "port-risk")
         return recommend.prepare_ports(recommend.scoring_ports(self.gold_ports(), self.facilities()), risk)

@@ -12,7 +12,7 @@ from tidewatch.registry.base import query
 from tidewatch.registry.common import Domain
 from tidewatch.registry.sql import replaced
 from tidewatch.session import scratch
-from tidewatch.sources.writers import materialize_path
+from tidewatch.sources.writers import materialize_path, staged
 
 C = F.col
 
@@ -129,7 +129,7 @@ def m16(spark, sf_dir):
     """Event-port fact."""
     d = Domain(spark, sf_dir)
     events = d.gold_events()
-    pairs = materialize_path(d.proximity(), scratch(spark, "proximity"))
+    pairs = staged(d.proximity(), "proximity")
     return star.fact_seismic_port_proximity(pairs, star.dim_seismic_event(events, A.AS_OF), d.dim_port(), A.AS_OF)
 
 
@@ -144,8 +144,8 @@ def m17(spark, sf_dir):
 def m18(spark, sf_dir):
     """Top ports per active vessel."""
     d = Domain(spark, sf_dir)
-    ports = materialize_path(d.prepared_ports(), scratch(spark, "prepared-ports"))
-    active = materialize_path(active_vessels(d.gold_vessels()), scratch(spark, "active-vessels"))
+    ports = staged(d.prepared_ports(), "scored-ports")
+    active = staged(active_vessels(d.gold_vessels()), "active-vessels")
     return recommend.recommend(active, ports, A.AS_OF)
 
 

@@ -15,7 +15,7 @@ from tidewatch.registry.sql import replaced
 from tidewatch.session import scratch
 from tidewatch.sources import readers
 from tidewatch.sources.keyed import KeyedTable
-from tidewatch.sources.writers import materialize_path
+from tidewatch.sources.writers import staged
 from tidewatch.streaming import cdc, events
 
 C = F.col
@@ -56,7 +56,7 @@ def _event_table(spark, name: str) -> KeyedTable:
 def r1(spark, sf_dir):
     """Net effect of all messages on an empty table, as one batch."""
     parsed = readers.parse_event_messages(A.event_messages(spark, sf_dir), carry=("seq",))
-    messages = materialize_path(parsed, scratch(spark, "messages"))  # read three times below
+    messages = staged(parsed, "messages")  # read three times below
     empty = spark.createDataFrame([], messages.schema)
     return merge.apply_event_actions(empty, messages).select("unid", "source_id", "action")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch import fixed
 from tidewatch.operators.filters import conform
 from tidewatch.operators.quality import Verdict, validate_snapshot
+from tidewatch.session import scratch
 
 C = F.col
 
@@ -82,6 +83,16 @@ def materialize_path(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a new table in the shared folder.
+
+    For results that are read more than once, such as a table whose size is
+    measured before it is joined; a lost executor costs a file read, not the
+    work behind it.
+    """
+    return materialize_path(df, scratch(df.sparkSession, purpose))
+
+
 def observed(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
     """The frame with a row counter that fills while it is written."""
     watch = Observation(name)
