@@ -45,9 +45,17 @@ def upsert_events(
 def apply_messages(
     table: KeyedTable, messages: DataFrame, sequence: str = "seq", source: str = "batch", batch_id: int | None = None
 ) -> bool:
-    """One merge of messages into the event table."""
-    effects = merge.net_actions(messages, "unid", sequence)
-    return table.merge(effects, lambda target, rows: merge.apply_effects(target, rows, "unid"), source, batch_id)
+    """One merge of messages into the event table.
+
+    The net effect reads the messages several times, so the batch is kept for
+    the duration of the merge instead of being fetched again from its source.
+    """
+    kept = messages.persist()
+    try:
+        effects = merge.net_actions(kept, "unid", sequence)
+        return table.merge(effects, lambda target, rows: merge.apply_effects(target, rows, "unid"), source, batch_id)
+    finally:
+        kept.unpersist()
 
 
 def backfill_start(table: KeyedTable, as_of: str):
