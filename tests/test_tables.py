@@ -228,6 +228,40 @@ def test_late_revision_within_the_window(spark):
     assert silver.silver_seismic_events(both, "2026-05-04 00:00:00", honor_deletes=True).count() == 0
 
 
+def test_incremental_vessel_loads_equal_one_full_load(spark):
+    def day(d, n):
+        return vessel_frame(spark, n, f"2026-05-{d}").withColumn("_INGESTED_AT", F.to_timestamp(F.lit(f"2026-05-{d} 23:00:00")))
+
+    first, second = day(19, 5), day(20, 7)
+    keys = ["NAME", "REPORT_DATE"]
+    held = silver.silver_vessels(first)
+    newest = held.agg(F.max("_INGESTED_AT")).first()[0]
+    step = merge.merge_incremental(held, silver.silver_vessels(first.unionByName(second), newest), keys)
+    full = silver.silver_vessels(first.unionByName(second))
+    assert rows(step.select(*keys, "DETAIL_LINK")) == rows(full.select(*keys, "DETAIL_LINK"))
+    assert silver.silver_vessels(first, newest).count() == 0
+
+
+def test_versions_beyond_the_window_are_left_out(spark, tmp_path):
+    schema = ("unid string, source_id string, flynn_region string, auth string, evtype string, magtype string,"
+              " lat double, lon double, mag double, depth double, time string, lastupdate string, __deleted string")
+
+    def version(unid, n, updated):
+        return (unid, str(n), "R", "A", "ke", "ml", 0.0, 0.0, 1.0, 1.0, "2026-05-01 00:00:00", updated, None)
+
+    parts = [[version("a", 1, "2026-05-03 10:00:00")], [version("b", 2, "2026-05-02 11:00:00"), version("c", 3, "2026-05-02 09:00:00")]]
+    target_schema = silver.silver_seismic_events(spark.createDataFrame(parts[0], schema), "2026-05-04 00:00:00").schema
+    for hours, kept in ((24, ["a", "b"]), (None, ["a", "b", "c"])):
+        root = str(tmp_path / f"w{hours}")
+        table = KeyedTable(spark, f"{root}/t", target_schema, ["EVENT_ID"], 2)
+        for part in parts:
+            frame = spark.createDataFrame(part, schema)
+            frame.write.mode("append").parquet(f"{root}/src")
+            stream = spark.readStream.schema(frame.schema).parquet(f"{root}/src")
+            events.follow_revisions(stream, table, f"{root}/cp", "2026-05-04 00:00:00", hours).awaitTermination()
+        assert sorted(r["EVENT_ID"] for r in table.read().collect()) == kept
+
+
 # --- checks -----------------------------------------------------------------------
 
 

@@ -144,13 +144,15 @@ def match_port_by_name_country(
     return match_port_by_name(vessels, side, name, residual=agrees, **kw).drop("_country")
 
 
-def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str], **kw) -> DataFrame:
     """Target plus the rows whose key it lacks."""
-    return target.unionByName(rows.join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+    absent = dimension_join(rows, target.select(*keys).distinct(), keys, "left_anti", **kw)
+    return target.unionByName(absent, allowMissingColumns=True)
 
 
-def delete_by_key(target: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
-    return target.join(doomed.select(*keys).distinct(), keys, "left_anti")
+def delete_by_key(target: DataFrame, doomed: DataFrame, keys: list[str], **kw) -> DataFrame:
+    """Target without the rows of the given keys; a NULL key matches nothing."""
+    return dimension_join(target, doomed.select(*keys).distinct(), keys, "left_anti", **kw)
 
 
 def attach_risk(ports: DataFrame, risk: DataFrame, **kw) -> DataFrame:

@@ -34,19 +34,24 @@ def get_session(app: str = "tidewatch", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}  # application id -> folder, local masters only
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it then gets a fresh
-    temporary folder, which is kept in the session for later calls.
+    Only a local master may go without the setting; it then gets one fresh
+    temporary folder per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tidewatch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidewatch-")
+    return _local_roots[context.applicationId]
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:

@@ -81,19 +81,27 @@ def backfill_then_stream(
     return upsert_events(stream, table, checkpoint, sequence, trigger=trigger)
 
 
-def follow_revisions(stream: DataFrame, table: KeyedTable, checkpoint: str, as_of: str, trigger: dict | None = None):
+def follow_revisions(
+    stream: DataFrame, table: KeyedTable, checkpoint: str, as_of: str, window_hours: int | None = None,
+    trigger: dict | None = None,
+):
     """Keep the cleaned event table current: the newest version per event wins.
 
     A version older than the one held does not replace it, whatever order
-    the messages arrive in, so no watermark drops late data.
+    the messages arrive in. By default nothing is too late; with
+    ``window_hours`` (24 in the batch form) versions updated longer than that
+    before the newest one held are left out.
     """
 
     def combine(target: DataFrame, rows: DataFrame) -> DataFrame:
         return latest_events(target.unionByName(rows))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_events(drop_soft_deleted(silver.seismic_rows(batch)))
-        rows = rows.drop("__deleted").withColumn("LOADED_AT", F.lit(as_of).cast("timestamp"))
+        rows = drop_soft_deleted(silver.seismic_rows(batch))
+        newest = aggregates.high_watermark(table.read(), "LAST_UPDATED_AT") if window_hours is not None else None
+        if newest is not None:
+            rows = rows.filter(C("LAST_UPDATED_AT") >= F.lit(newest) - F.expr(f"INTERVAL {int(window_hours)} HOURS"))
+        rows = latest_events(rows).drop("__deleted").withColumn("LOADED_AT", F.lit(as_of).cast("timestamp"))
         table.merge(rows, combine, "revisions", batch_id)
 
     return _run(stream, checkpoint, each, trigger)
@@ -108,6 +116,7 @@ def live_counts(stream: DataFrame, what: str, path: str, checkpoint: str, trigge
     counted = {"histogram": aggregates.intensity_histogram, "days": aggregates.events_per_day}[what](stream)
 
     def each(result: DataFrame, batch_id: int) -> None:
+        # a handful of buckets, or one row per day
         result.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return _run(counted, checkpoint, each, trigger, mode="complete")
