@@ -31,3 +31,17 @@ def test_every_query_has_sql():
 def test_query(spark, con, name):
     ok, found = compare(spark, con, name, queries()[name], oracle_sql().get(name), SF)
     assert ok, found
+
+
+@pytest.mark.parametrize("name", ["j4_proximity_join", "j4_proximity_shuffled", "j9_compatible_ports", "j10_without_port",
+                                  "m8_vessels_with_port_details", "m16_fact_seismic_port_proximity",
+                                  "m17_fact_vessel_voyage", "m18_port_recommendations"])
+def test_no_plan_pairs_everything(spark, name):
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_scans_read_only_what_is_needed(spark):
+    plan = queries()["m11_daily_risk"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan

@@ -200,7 +200,7 @@ def vessels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 18 text columns of a snapshot plus the load stamp."""
     columns = {
         **VESSELS,
-        "_INGESTED_AT": "cast(o_orderdate AS timestamp) + make_dt_interval(0, cast(o_orderkey % 5 AS int))",
+        "_INGESTED_AT": "cast(o_orderdate + make_dt_interval(0, cast(o_orderkey % 5 AS int)) AS timestamp)",
     }
     return _select(table(spark, sf_dir, "orders"), columns)
 
