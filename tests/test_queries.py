@@ -9,7 +9,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from compare import compare, duck  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from tidewatch.registry import ORACLES, QUERIES  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -24,12 +25,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    ok, found = compare(spark, con, name, queries()[name], oracle_sql().get(name), SF)
+    ok, found = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert ok, found
 
 
@@ -37,11 +38,11 @@ def test_query(spark, con, name):
                                   "m8_vessels_with_port_details", "m16_fact_seismic_port_proximity",
                                   "m17_fact_vessel_voyage", "m18_port_recommendations"])
 def test_no_plan_pairs_everything(spark, name):
-    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_scans_read_only_what_is_needed(spark):
-    plan = queries()["m11_daily_risk"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["m11_daily_risk"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
