@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing, packing, sharding
+from tidewatch.llm import language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding, warc
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,12 +18,31 @@ def query(fn):
     return fn
 
 
+@query
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under a model of those not held out."""
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2,048 words."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    c = near_duplicates.classes(table(spark, sf_dir, "documents"))
+    return c.select("doc_id", "class_id", "kept", "class_texts")
+
+
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
@@ -35,3 +54,15 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals and verdict of every document."""
+    return quality_rules.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written and read back through the index."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
