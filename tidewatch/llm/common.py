@@ -42,3 +42,8 @@ def id_text(doc_id: str | Column = "doc_id") -> Column:
 def crc_mod(doc_id: str, m: int) -> Column:
     """crc32 of the id's text modulo ``m``; a null id counts as empty text."""
     return F.crc32(id_text(doc_id).cast("binary")) % m
+
+
+def tie_order(docs: DataFrame) -> list[Column]:
+    """Order among rows equal in id and text, given as fields of a struct ``row``."""
+    return [F.col(f"row.{c}") for c in ("source", "lang", "n_chars") if c in docs.columns] or [F.lit(0)]

@@ -183,14 +183,13 @@ def in_a_language(docs: DataFrame, least: float = LEAST_COSINE, **options) -> Da
     Rejected are `und` and texts with a cosine below ``least``. With nothing to learn from, texts with letters stay.
     """
     langs, profiles = learn_profiles(docs, **options)
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["_letters"].to_pylist()
+            texts = batch["letters"].to_pylist()
             _, score = predictions(texts, langs, profiles)
             good = [bool(t) and (not langs or s >= least) for t, s in zip(texts, score, strict=True)]
-            yield batch.select(names).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_struct_array(batch["row"].filter(pa.array(good, pa.bool_())))
 
-    columns = [F.col(f"`{c}`") for c in names]
-    return docs.select(*columns, letters_only().alias("_letters")).mapInArrow(run, docs.schema)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), letters_only().alias("letters")).mapInArrow(run, docs.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import id_text, n_words, stage, whole
+from tidewatch.llm.common import id_text, n_words, stage, tie_order, whole
 
 #: Documents in one bin of the draw's histogram, about.
 BIN_ROWS = 1_000
@@ -162,9 +162,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     h = F.md5(F.concat(F.lit(f"{seed}/"), id_text("doc_id"), F.lit("/"), whole("text")).cast("binary"))
     per_key = mix(docs, **options).groupBy("row_key").agg(F.sum("copies").alias("_c"), F.count("*").alias("_k"))
     per_key = per_key.where("_c > 0").withColumnRenamed("row_key", "_h")
-    full = docs.withColumn("_h", h).join(per_key, "_h")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    full = docs.select(row.alias("row"), h.alias("h")).join(per_key, F.col("h") == F.col("_h"))
     # rows equal in id and text share their copies evenly
-    nr = F.row_number().over(W.partitionBy("_h").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    nr = F.row_number().over(W.partitionBy("h").orderBy(*tie_order(docs)))
     times = (F.floor(F.col("_c") / F.col("_k")) + F.when(nr <= F.col("_c") % F.col("_k"), 1).otherwise(0)).cast("int")
-    full = full.withColumn("_n", times).where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return full.select([F.col(f"`{c}`") for c in docs.columns])
+    full = full.withColumn("n", times).where("n > 0")
+    return full.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")

@@ -5,8 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidewatch.llm import language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding, warc
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidewatch.llm import (
+    language_id,
+    language_model,
+    licences,
+    mixing,
+    near_duplicates,
+    neighbours,
+    packing,
+    quality_rules,
+    sharding,
+    warc,
+)
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +43,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op4_licence_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of all documents."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
@@ -66,3 +91,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, written and read back through the index."""
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline from raw documents to packed sequences."""
+    return corpus_pipeline.run(spark, sf_dir)
