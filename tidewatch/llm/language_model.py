@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import crc_mod, stage, whole
 from tidewatch.llm.tokens import chained, word_hashes
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 #: Text per hash bucket, about; the number of buckets is a power of two.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 MAX_BUCKETS = 1 << 16
 START, END = 0x5354415254000001, 0x454E440000000001
 N_BUCKETS_OF_CONTEXTS = 64

@@ -18,12 +18,18 @@ from tidewatch.llm import (
     packing,
     quality_rules,
     sharding,
+    sql,
     warc,
 )
 from tidewatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_mix_sources": sql.OP7,
+    "op8_rendezvous_shards": sql.OP8,
+    "op9_quality_rules": sql.OP9,
+    "op10_warc": sql.OP10,
+}
 
 
 def query(fn):
