@@ -16,8 +16,9 @@ def rows(df):
     return sorted(tuple(str(v) for v in r) for r in df.collect())
 
 
+@pytest.mark.parametrize("hint", [None, "merge"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_dimension_join_equals_plain_join(spark, how, hint):
     # a third of the rows on one key, a third without a key, copies of one row among them
     left = spark.range(3000).select(
         F.when(C("id") % 3 == 0, F.lit("hot")).when(C("id") % 3 == 1, F.lit(None)).otherwise(C("id").cast("string"))
@@ -26,36 +27,56 @@ def test_salted_join_equals_plain_join(spark, how):
     ).repartition(8)
     right = spark.createDataFrame(
         [("hot", 1), ("hot", 2), (None, 3), ("5", 4), ("unused", 5)], "k string, w int")
-    salted = joins.salted_join(left, right, ["k"], how, rows_per_slice=50)
-    assert rows(salted) == rows(left.join(right, "k", how).select(salted.columns))
-
-
-def test_hot_keys_are_found_and_spread(spark):
-    left = spark.range(3000).select(F.when(C("id") % 3 == 0, "hot").otherwise(C("id").cast("string")).alias("k"))
-    assert [tuple(r) for r in joins.hot_keys(left, ["k"], 100).collect()] == [("hot", 10)]
-    copies = left.repartition(8).withColumn("v", F.lit(1))  # identical rows still go to several slices
-    sliced = joins.salted_join(copies, spark.createDataFrame([("hot", 1)], "k string, w int"), ["k"], "left",
-                               rows_per_slice=100)
-    assert sliced.count() == 3000
+    joined = joins.dimension_join(left, right, ["k"], how, hint=hint)
+    assert rows(joined) == rows(left.join(right, "k", how).select(joined.columns))
+
+
+def test_hot_keys_are_split_at_run_time(spark):
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(60_000).select(
+            F.when(C("id") % 3 > 0, F.lit("hot")).otherwise(C("id").cast("string")).alias("k"), F.sha2(C("id").cast("string"), 256).alias("v")
+        ).repartition(8)
+        right = spark.range(0, 60_000, 3).select(C("id").cast("string").alias("k"), "id").union(spark.createDataFrame([("hot", -1)], "k string, id long"))
+        joined = joins.dimension_join(left, right, ["k"], "left", hint="merge")
+        found = joined._jdf.queryExecution()
+        assert joined.count() == 60_000 and found is not None
+        done = joined.groupBy("id").count()
+        assert done.where("id = -1").first()["count"] == 40_000
+        plan = joined.filter("length(v) > 0")
+        plan.collect()
+        assert "skew=true" in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_nothing_runs_before_the_action(spark):
+    left = spark.range(10).withColumn("k", C("id"))
+    right = spark.range(5).select(C("id").alias("k"), F.lit(1).alias("w"))
+    spark.sparkContext.setJobGroup("building", "joins")
+    joins.dimension_join(joins.dimension_join(left, right, ["k"]), right.distinct().withColumnRenamed("w", "u"), ["k"], "left")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
 
 
 def test_residual_condition(spark):
     left = spark.createDataFrame([("a", 1), ("a", 5), ("b", 1)], "k string, v int")
     right = spark.createDataFrame([("a", 3), ("b", 0)], "k string, w int")
     expected = [("a", "1", "3"), ("a", "5", "None"), ("b", "1", "None")]
-    for size in (joins.BROADCAST_BYTES, 0):
-        got = joins.dimension_join(left, right, ["k"], "left", residual=C("v") < C("w"), max_bytes=size)
+    for hint in (None, "merge"):
+        got = joins.dimension_join(left, right, ["k"], "left", residual=C("v") < C("w"), hint=hint)
         assert rows(got) == expected
 
 
-def test_broadcast_only_when_measured_small(spark):
-    small = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
-    assert joins.fits_broadcast(small, 200_000)
-    assert not joins.fits_broadcast(small, 50_000)
-    assert not joins.fits_broadcast(spark.range(10_000), 10_000)
-    assert joins.fits_broadcast(spark.range(0), 1)
-
-
 def great_circle(a, b, c, d):
     a, b, c, d = map(math.radians, (a, b, c, d))
     h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
@@ -63,8 +84,8 @@ def great_circle(a, b, c, d):
 
 
 @pytest.mark.parametrize("radius", [500.0, 60.0, 3000.0])
-@pytest.mark.parametrize("size", [joins.BROADCAST_BYTES, 0])
-def test_grid_join_equals_all_pairs(spark, radius, size):
+@pytest.mark.parametrize("hint", [None, "merge"])
+def test_grid_join_equals_all_pairs(spark, radius, hint):
     rng = random.Random(7)
     edge = [90.0, -90.0, 89.9, -86.0, 0.0, 60.0]
     points = [(rng.choice(edge) if i % 3 == 0 else rng.uniform(-90, 90),
@@ -73,7 +94,7 @@ def test_grid_join_equals_all_pairs(spark, radius, size):
               rng.choice([180.0, -180.0, -179.5]) if i % 3 == 0 else rng.uniform(-180, 180)) for i in range(60)]
     events = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "e int, LATITUDE double, LONGITUDE double")
     side = spark.createDataFrame([(i, *p) for i, p in enumerate(ports)], "p int, PORT_LATITUDE double, PORT_LONGITUDE double")
-    got = sorted((r["e"], r["p"]) for r in proximity_join(events, side, radius, size).collect())
+    got = sorted((r["e"], r["p"]) for r in proximity_join(events, side, radius, hint).collect())
     expected = sorted((i, j) for i, e in enumerate(points) for j, p in enumerate(ports) if great_circle(*e, *p) <= radius)
     assert got == expected
 
@@ -112,12 +133,12 @@ def best(vessels, ports, n):
     return out
 
 
-@pytest.mark.parametrize("seed, levels, size", [(1, 400, joins.BROADCAST_BYTES), (2, 3, joins.BROADCAST_BYTES), (3, 40, 0)])
-def test_best_ports_equal_all_pairs(spark, seed, levels, size):
+@pytest.mark.parametrize("seed, levels, hint", [(1, 400, None), (2, 3, None), (3, 40, "merge")])
+def test_best_ports_equal_all_pairs(spark, seed, levels, hint):
     vessels, ports, v, p = fleet(spark, seed, 150, 120, levels)
-    got = {(r["NAME"], r["RANK"], r["PORT"]) for r in compatible.top_compatible(v, p, 3, max_bytes=size).collect()}
+    got = {(r["NAME"], r["RANK"], r["PORT"]) for r in compatible.top_compatible(v, p, 3, hint=hint).collect()}
     assert got == best(vessels, ports, 3)
-    left = {r["NAME"] for r in compatible.without_port(v, p, max_bytes=size).collect()}
+    left = {r["NAME"] for r in compatible.without_port(v, p, hint=hint).collect()}
     assert left == {x[0] for x in vessels} - {g[0] for g in got}
 
 

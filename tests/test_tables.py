@@ -37,6 +37,12 @@ def test_bad_port_lines_are_skipped_whatever_is_selected(spark, tmp_path):
     assert read.select("Main_Port_Name").count() == read.count() == 2
 
 
+def test_doubled_quotes_in_ports(spark, tmp_path):
+    line = ",".join("1.5" if c in fixed.PORT_DOUBLE_COLUMNS else '"x ""y"", z"' for c in fixed.PORT_COLUMNS)
+    (tmp_path / "p.csv").write_text("\n".join([",".join(fixed.PORT_COLUMNS), line]) + "\n")
+    assert [r[0] for r in readers.read_ports(spark, str(tmp_path / "p.csv")).select("Main_Port_Name").collect()] == ['x "y", z']
+
+
 def test_day_snapshot(spark, tmp_path):
     folder = tmp_path / "year=2026" / "month=05"
     folder.mkdir(parents=True)
@@ -356,6 +362,47 @@ def test_stream_result_does_not_depend_on_the_files(spark, tmp_path, files):
     assert rows(top.read().select("source_id")) == rows(strongest_events(expected).select("source_id"))
 
 
+def test_every_start_and_every_feed_counts(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], ACTIONS).schema, ["unid"], 2)
+
+    def feed(name, *messages):
+        path = str(tmp_path / f"in-{name}")
+        spark.createDataFrame(list(messages), ACTIONS).coalesce(1).write.mode("append").parquet(path)
+        return spark.readStream.schema(ACTIONS).parquet(path)
+
+    history = lambda k: spark.createDataFrame([(k, "create", 0, k)], ACTIONS)
+    cp = lambda name: str(tmp_path / f"cp-{name}")
+    events.backfill_then_stream(history("h1"), feed("a", ("a", "create", 1, "a")), table, cp("a")).awaitTermination()
+    events.backfill_then_stream(history("h2"), feed("a", ("b", "create", 2, "b")), table, cp("a")).awaitTermination()
+    events.backfill_then_stream(history("h2"), feed("a"), table, cp("a")).awaitTermination()
+    events.upsert_events(feed("other", ("c", "create", 1, "c")), table, cp("other")).awaitTermination()
+    events.upsert_events(feed("a", ("d", "create", 3, "d")), table, cp("new")).awaitTermination()
+    assert {r["unid"] for r in table.read().collect()} == {"h1", "h2", "a", "b", "c", "d"}
+
+
+def test_a_restart_keeps_the_snapshot(spark, tmp_path):
+    schema = schemas.EVENT_CDC_ROW
+    rows_of = lambda *ids: spark.createDataFrame(
+        [tuple({"unid": i, "__deleted": None}.get(f.name) for f in schema.fields) for i in ids], schema)
+    src, out, cp = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "cp")
+    rows_of("y").write.parquet(src)
+    stream = lambda: spark.readStream.schema(schema).parquet(src)
+    cdc.snapshot_then_changes(rows_of("x"), stream(), out, cp).awaitTermination()
+    cdc.snapshot_then_changes(rows_of("x", "y"), stream(), out, cp).awaitTermination()
+    assert sorted(r["unid"] for r in cdc.read_live(spark, out).collect()) == ["x", "y"]
+
+
+def test_old_versions_expire_on_the_way(spark, tmp_path, monkeypatch):
+    from tidewatch.sources import keyed
+
+    monkeypatch.setattr(keyed, "EXPIRE_EVERY", 6)
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], "k string, v int").schema, ["k"], 1)
+    for v in range(13):
+        batch = spark.createDataFrame([("k", v)], "k string, v int")
+        table.merge(batch, lambda t, b: merge.merge_incremental(t, b, ["k"]))
+    assert [tuple(r) for r in table.read().collect()] == [("k", 12)] and len(table._manifests()) == 10
+
+
 def test_backfill_start(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), schemas.EVENT_ROW, ["unid"], 2)
     assert events.backfill_start(table, "2026-05-01 10:00:00") == "2026-05-01 09:00:00"

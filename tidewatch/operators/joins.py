@@ -1,94 +1,19 @@
-"""Equi-joins that hold up under skew, and the name-based port matching.
+"""Equi-joins with dimensions, and the name-based port matching.
 
-A side is broadcast only after its bytes were measured; otherwise the join
-shuffles, and keys that hold many rows (NULL included) are cut into slices
-whose partner rows are copied once per slice.
+Nothing here runs before the caller's action, and each side is read once. The
+side is not marked for broadcast: Spark broadcasts it where its statistics, or
+at run time its measured shuffle size, stay below the session's thresholds, and
+otherwise sorts and merges, splitting the partitions of hot keys (NULL
+among them) that adaptive execution finds.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.functions.text import name_key
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROWS_PER_SLICE = 1_000_000
-MAX_HOT_KEYS = 2_000  # a key outside the largest 2,000 holds under 1/2,000 of the rows
-MAX_SLICES = 1_000
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure whether the rows take at most ``max_bytes``; reads no more than needed.
-
-    Every row counts for at least ``floor`` bytes, so the limited sample
-    overshoots the bound exactly when the whole table does.
-    """
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    floor = 16 + 8 * len(df.columns)
-    width = F.lit(floor)
-    for name in strings:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
-    rows = df.select(width.cast("bigint").alias("w")).limit(max_bytes // floor + 1)
-    return (rows.agg(F.sum("w")).first()[0] or 0) <= max_bytes
-
-
-def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys above ``rows_per_slice`` rows with their slice count; at most MAX_HOT_KEYS rows."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    slices = F.least(F.ceil(F.col("_rows") / rows_per_slice), F.lit(MAX_SLICES)).cast("int")
-    return (
-        sizes.filter(F.col("_rows") > rows_per_slice)
-        .orderBy(F.col("_rows").desc())
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, slices.alias("_slices"))
-    )
-
-
-def _with_slices(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_slices")
-    match = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    return (
-        df.join(F.broadcast(renamed), match, "left")
-        .withColumn("_slices", F.coalesce("_slices", F.lit(1)))
-        .drop(*[f"_hot_{k}" for k in keys])
-    )
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    residual: Column | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Shuffle join on equally named keys with the hot left keys cut into slices.
-
-    ``how`` is inner, left, left_semi or left_anti. Each left row is in one
-    slice and the right rows of its key are in every slice, so the result is
-    that of the plain join. The slice follows from the row and its task, never
-    from a random number, so a retried task repeats it; copies of one row
-    spread because the task number is part of it.
-    """
-    hot = hot_keys(left, keys, rows_per_slice)
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id() * 7919, F.col("_slices"))
-    sliced = _with_slices(left, hot, keys).withColumn("_slice", spread.cast("int")).drop("_slices")
-    copies = (
-        _with_slices(right.dropna(subset=keys), hot, keys)
-        .withColumn("_r_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-        .drop("_slices")
-        .withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    )
-    condition = F.col("_slice") == F.col("_r_slice")
-    for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_r_{k}"))
-    if residual is not None:
-        condition = condition & residual
-    joined = sliced.join(copies, condition, how)
-    return joined.drop("_slice", "_r_slice", *[f"_r_{k}" for k in keys])
-
 
 def dimension_join(
     facts: DataFrame,
@@ -96,16 +21,16 @@ def dimension_join(
     keys: list[str],
     how: str = "left",
     residual: Column | None = None,
-    max_bytes: int = BROADCAST_BYTES,
+    hint: str | None = None,
 ) -> DataFrame:
     """Join facts to a dimension on equally named keys; the facts' keys are kept.
 
-    A dimension of measured small size is broadcast and the facts stay where
-    they are; a larger one goes through :func:`salted_join`.
+    ``how`` is inner, left, left_semi or left_anti, all of which can be split
+    on the facts' side. ``hint`` names a join strategy for the dimension, such
+    as ``merge``; without it Spark chooses.
     """
-    if not fits_broadcast(dim, max_bytes):
-        return salted_join(facts, dim, keys, how, residual)
-    side = F.broadcast(dim.withColumnsRenamed({k: f"_r_{k}" for k in keys}))
+    side = dim.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    side = side.hint(hint) if hint else side
     condition = F.lit(True) if residual is None else residual
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_r_{k}"))

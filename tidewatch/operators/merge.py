@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import salted_join
-
 C = F.col
 
 
@@ -63,7 +61,7 @@ def net_actions(messages: DataFrame, key: str = "unid", sequence: str = "seq") -
     )
     creates = known.filter(C("action") == "create")
     late = (
-        salted_join(creates, last.select(key, "_last"), [key])
+        creates.join(last.select(key, "_last"), key)
         .filter(C("_last").isNull() | (C(sequence) > C("_last")))
         .groupBy(key)
         .agg(F.min_by(F.struct(*[C(f"`{c}`") for c in known.columns]), C(sequence)).alias("_create"))
@@ -96,10 +94,3 @@ def apply_effects(target: DataFrame, effects: DataFrame, key: str = "unid") -> D
 def apply_event_actions(target: DataFrame, messages: DataFrame, key: str = "unid", sequence: str = "seq") -> DataFrame:
     """Target after the messages, in sequence order."""
     return apply_effects(target, net_actions(messages, key, sequence), key)
-
-
-def merge_revisions(target: DataFrame, batch: DataFrame, key: str, updated: str) -> DataFrame:
-    """Merge revised rows: latest per key of the batch replaces the target's row."""
-    w = Window.partitionBy(key).orderBy(C(updated).desc_nulls_first())
-    newest = batch.withColumn("_n", F.row_number().over(w)).filter(C("_n") <= 1).drop("_n")
-    return merge_incremental(target, newest, [key])

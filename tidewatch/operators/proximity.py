@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed
 from tidewatch.functions.geo import Grid, haversine_km
-from tidewatch.operators.joins import BROADCAST_BYTES, dimension_join
+from tidewatch.operators.joins import dimension_join
 
 C = F.col
 
 
 def proximity_join(
-    events: DataFrame, ports: DataFrame, radius_km: float = fixed.PROXIMITY_KM, max_bytes: int = BROADCAST_BYTES
+    events: DataFrame, ports: DataFrame, radius_km: float = fixed.PROXIMITY_KM, hint: str | None = None
 ) -> DataFrame:
     """All (event, port) pairs within the radius, with ``DISTANCE_KM``.
 
@@ -21,7 +21,7 @@ def proximity_join(
     PORT_LONGITUDE``; other names must not clash. Each port is listed under
     every grid cell its cap touches and each event under its own cell, so the
     pairs come from an equi-join on the cell followed by the exact test. With
-    few ports the events do not move; with many, crowded cells are sliced.
+    few ports the events do not move; with many, crowded cells are split at run time.
     Points outside the valid coordinate range have no cell and no pair.
     """
     grid = Grid(radius_km)
@@ -32,5 +32,5 @@ def proximity_join(
         "_cell", F.explode(grid.cells_of_cap(C("PORT_LATITUDE"), C("PORT_LONGITUDE")))
     )
     distance = haversine_km(C("LATITUDE"), C("LONGITUDE"), C("PORT_LATITUDE"), C("PORT_LONGITUDE"))
-    pairs = dimension_join(placed, listed, ["_cell"], "inner", residual=distance <= radius_km, max_bytes=max_bytes)
+    pairs = dimension_join(placed, listed, ["_cell"], "inner", residual=distance <= radius_km, hint=hint)
     return pairs.drop("_cell").withColumn("DISTANCE_KM", distance)

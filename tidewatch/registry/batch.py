@@ -458,7 +458,7 @@ def j3(spark, sf_dir):
 @query("j3_match_port_shuffled", _J3)
 def j3_shuffled(spark, sf_dir):
     """J3 with the shuffle join that large port tables take."""
-    return _j3(spark, sf_dir, max_bytes=0)
+    return _j3(spark, sf_dir, hint="merge")
 
 
 _J4 = (
@@ -485,7 +485,7 @@ def j4(spark, sf_dir):
 @query("j4_proximity_shuffled", _J4, rounded={"DISTANCE_KM": 3})
 def j4_shuffled(spark, sf_dir):
     """J4 with the shuffle join that large port tables take."""
-    return _j4(spark, sf_dir, max_bytes=0)
+    return _j4(spark, sf_dir, hint="merge")
 
 
 @query(

@@ -35,7 +35,7 @@ def _csv(df, path: str, **options) -> str:
 )
 def a1(spark, sf_dir):
     """A1: the 109-column directory written as CSV and read back."""
-    path = _csv(Domain(spark, sf_dir).ports(), scratch(spark, "ports-csv"), emptyValue="")
+    path = _csv(Domain(spark, sf_dir).ports(), scratch(spark, "ports-csv"), emptyValue="", escape='"')
     return readers.read_ports(spark, path).select(*_RAW_PORT)
 
 

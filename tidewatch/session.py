@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a join side is broadcast up to this size, which is measured when it has been shuffled
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.optimizer.rebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     # wide projections would fuse into methods the JIT compiler refuses (over

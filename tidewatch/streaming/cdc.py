@@ -82,11 +82,16 @@ def write_cdc_append(stream: DataFrame, path: str, checkpoint: str, trigger: dic
 
 
 def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Write the table's present rows, then follow its changes; read both with :func:`read_live`.
+    """Write the table's present rows once, then follow its changes; read both with :func:`read_live`.
 
-    They lie in separate folders, since a stream's folder lists its own files only.
+    A restart keeps the snapshot it finds: the rows that came since are among
+    the changes. Only one that was left unfinished is written anew. The two
+    lie in separate folders, since a stream's folder lists its own files only.
     """
-    live_events(snapshot).write.mode("overwrite").parquet(f"{path}/snapshot")
+    spark = snapshot.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/snapshot/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        live_events(snapshot).write.mode("overwrite").parquet(f"{path}/snapshot")
     return write_cdc_append(live_events(changes), f"{path}/changes", checkpoint, trigger)
 
 

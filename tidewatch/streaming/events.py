@@ -1,12 +1,15 @@
 """Jobs that keep tables current from streams.
 
 Each merges micro-batches with ``foreachBatch`` into a keyed table. A batch is
-applied once: its id is recorded with the table's new state, and a batch that
-is run again is skipped.
+applied once: its id is recorded with the table's new state under a name that
+belongs to the checkpoint, and a batch that is run again is skipped. Feeds with
+checkpoints of their own never hide each other's batches.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +33,20 @@ def _run(stream: DataFrame, checkpoint: str, each, trigger: dict | None, mode: s
     )
 
 
+def source_of(table: KeyedTable, checkpoint: str) -> str:
+    """Name of the feed that a checkpoint belongs to, kept beside it; a fresh checkpoint gets a new one."""
+    path = f"{checkpoint.rstrip('/')}-source"
+    if not (table.exists(f"{checkpoint.rstrip('/')}/offsets") and table.exists(f"{path}/_SUCCESS")):
+        row = table.spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1)
+        row.write.mode("overwrite").text(path)
+    return table.spark.read.text(path).first()[0]
+
+
 def upsert_events(
-    stream: DataFrame, table: KeyedTable, checkpoint: str, sequence: str = "seq", source: str = "stream",
-    trigger: dict | None = None,
+    stream: DataFrame, table: KeyedTable, checkpoint: str, sequence: str = "seq", trigger: dict | None = None
 ):
     """Apply create / update / delete messages to the event table, in sequence order."""
+    source = source_of(table, checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         apply_messages(table, batch, sequence, source, batch_id)
@@ -74,10 +86,11 @@ def backfill_then_stream(
     """Insert history that the table lacks, then follow the stream.
 
     Overlap between the two is harmless: history only creates, and a create
-    counts only for absent events.
+    counts only for absent events. So every start may bring its own history,
+    and one that is repeated changes nothing.
     """
     created = history.withColumn("action", F.lit("create"))
-    apply_messages(table, created, sequence, source="backfill", batch_id=0)
+    apply_messages(table, created, sequence)
     return upsert_events(stream, table, checkpoint, sequence, trigger=trigger)
 
 
@@ -93,6 +106,8 @@ def follow_revisions(
     before the newest one held are left out.
     """
 
+    source = source_of(table, checkpoint)
+
     def combine(target: DataFrame, rows: DataFrame) -> DataFrame:
         return latest_events(target.unionByName(rows))
 
@@ -102,7 +117,7 @@ def follow_revisions(
         if newest is not None:
             rows = rows.filter(C("LAST_UPDATED_AT") >= F.lit(newest) - F.expr(f"INTERVAL {int(window_hours)} HOURS"))
         rows = latest_events(rows).drop("__deleted").withColumn("LOADED_AT", F.lit(as_of).cast("timestamp"))
-        table.merge(rows, combine, "revisions", batch_id)
+        table.merge(rows, combine, source, batch_id)
 
     return _run(stream, checkpoint, each, trigger)
 
@@ -141,6 +156,7 @@ def follow_strongest(
 ):
     """Keep the n strongest rows: each batch's best against the n held so far."""
     best = [C("mag").desc_nulls_last(), C("source_id").asc_nulls_last()]
+    source = source_of(table, checkpoint)
 
     def combine(held: DataFrame, rows: DataFrame) -> DataFrame:
         return held.unionByName(rows).orderBy(*best).limit(n)
@@ -148,7 +164,7 @@ def follow_strongest(
     def each(batch: DataFrame, batch_id: int) -> None:
         names = [f.name for f in table.schema.fields]
         top = batch.orderBy(*best).limit(n).select(*names)
-        table.merge(top, combine, "strongest", batch_id)
+        table.merge(top, combine, source, batch_id)
 
     return _run(stream, checkpoint, each, trigger)
 
