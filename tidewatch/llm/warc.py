@@ -1,11 +1,11 @@
 """WARC archives with a two-level capture index.
 
-Pages are sorted by reversed-host URL key and written as one gzip member per
-record. Beside the archives of each range lies an index file: its capture
-lines, sorted by key, in compressed blocks, and at its end a sparse directory
-with the first key of every block. A lookup finds the range, then the block,
-by binary search, reads that block's byte range, searches it, and reads the byte
-range of the record.
+Every task writes its pages to archives, one gzip member per record, and says
+where each record lies. These captures, sorted by reversed-host URL key, make
+the index: each range of keys is a file of compressed blocks of capture
+lines, with a sparse directory of the blocks' first keys at its end. A lookup
+finds the range, then the block, by binary search, reads that block's byte
+range, searches it, and reads the byte range of the record.
 """
 
 from __future__ import annotations
@@ -122,47 +122,59 @@ def parsed(data: bytes) -> dict:
     }
 
 
-class RangeWriter:
-    """Archives and index file of one sorted range."""
+class ArchiveWriter:
+    """Archives of one task; :meth:`add` returns where a record lies."""
 
-    def __init__(self, root: str, name: str, block_lines: int):
+    def __init__(self, root: str):
         self.fs, self.path = storage(root)
         self.fs.create_dir(self.path, recursive=True)
-        self.name, self.block_lines = name, block_lines
-        self.archives: list[str] = []
-        self.out, self.at = None, 0
-        self.index = self.fs.open_output_stream(f"{self.path}/{name}.cdx")
-        self.index_at, self.lines, self.directory = 0, [], []
+        self.out, self.name, self.at = None, "", 0
 
-    def add(self, key: str, page_id, data: bytes) -> None:
+    def add(self, data: bytes) -> tuple[str, int, int]:
         if self.out is None or self.at >= ARCHIVE_BYTES:
-            if self.out:
-                self.out.close()
-            self.archives.append(f"{self.name}-{len(self.archives)}.warc.gz")
-            self.out, self.at = self.fs.open_output_stream(f"{self.path}/{self.archives[-1]}", compression=None), 0
+            self.close()
+            self.name, self.at = f"{uuid.uuid4().hex}.warc.gz", 0
+            self.out = self.fs.open_output_stream(f"{self.path}/{self.name}", compression=None)
         z = member(data)
         self.out.write(z)
-        self.lines.append([*place(key, page_id), self.archives[-1], self.at, len(z)])
         self.at += len(z)
+        return self.name, self.at - len(z), len(z)
+
+    def close(self) -> None:
+        if self.out:
+            self.out.close()
+            self.out = None
+
+
+class IndexWriter:
+    """Index file of one sorted range."""
+
+    def __init__(self, root: str, block_lines: int):
+        self.fs, self.path = storage(root)
+        self.name, self.block_lines = f"{uuid.uuid4().hex}.cdx", block_lines
+        self.out = self.fs.open_output_stream(f"{self.path}/{self.name}")
+        self.at, self.lines, self.directory = 0, [], []
+
+    def add(self, line: list) -> None:
+        self.lines.append(line)
         if len(self.lines) == self.block_lines:
             self.flush()
 
     def flush(self) -> None:
         if self.lines:
             z = member("\n".join(map(json.dumps, self.lines)).encode())
-            self.index.write(z)
-            self.directory.append([*self.lines[0][:2], self.index_at, len(z)])
-            self.index_at += len(z)
+            self.out.write(z)
+            self.directory.append([*self.lines[0][:2], self.at, len(z)])
+            self.at += len(z)
             self.lines = []
 
     def close(self) -> tuple:
         """(first key, first place of the id, index file, offset of its directory, its length)."""
         self.flush()
         z = member("\n".join(map(json.dumps, self.directory)).encode())
-        self.index.write(z)
-        self.index.close()
+        self.out.write(z)
         self.out.close()
-        return *self.directory[0][:2], f"{self.name}.cdx", self.index_at, len(z)
+        return *self.directory[0][:2], self.name, self.at, len(z)
 
 
 class Reader:
@@ -211,11 +223,11 @@ def write_archives(pages: DataFrame, root: str, min_bytes: int = 0, block_lines:
 
     Of rows with equal payloads of at least ``min_bytes`` bytes, the one with
     the smallest page_id (null last; then the smallest url) is a response,
-    the others revisit it. Of fully equal rows the first is the response. Null
-    html is an empty payload, a null url an empty key. Files have names of
-    their own for each attempt, and only those of the attempt that counts are
-    in the result, so a repeated task does no harm. What reaches the driver is one
-    row per range.
+    the others revisit it; of fully equal rows one is. Null html is an empty
+    payload, a null url an empty key. Files have names of their own for each
+    attempt, and only those of the attempt that counts are listed, so a
+    repeated task does no harm. The payloads are shuffled once. What reaches
+    the driver is one row per range of the index.
     """
     payload = whole("html").cast("binary")
     base = pages.select(
@@ -224,13 +236,12 @@ def write_archives(pages: DataFrame, root: str, min_bytes: int = 0, block_lines:
         payload.alias("payload"),
         F.sha1(payload).alias("sha1"),
         url_key(F.col("url")).alias("key"),
+        F.monotonically_increasing_id().alias("uid"),
     )
-    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "uid")
     shared = base.where(F.octet_length("payload") >= min_bytes).groupBy(F.col("sha1").alias("sha1_"))
     shared = shared.agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    rows = base.join(shared.select("sha1_", "first"), F.col("sha1") == F.col("sha1_"), "left")
-    rows = rows.withColumn("revisits", ~F.col("page_id").eqNullSafe(F.col("first.page_id")) | ~F.col("url").eqNullSafe(F.col("first.url")))
-    rows = rows.select(
+    rows = base.join(shared.select("sha1_", "first"), F.col("sha1") == F.col("sha1_"), "left").select(
         "page_id",
         "url",
         "payload",
@@ -238,35 +249,50 @@ def write_archives(pages: DataFrame, root: str, min_bytes: int = 0, block_lines:
         "key",
         F.col("first.page_id").alias("first_id"),
         F.col("first.url").alias("first_url"),
-        F.col("first").isNotNull().alias("shared"),
-        F.coalesce(F.col("first").isNotNull() & F.col("revisits"), F.lit(False)).alias("revisits"),
+        F.coalesce(F.col("uid") != F.col("first.uid"), F.lit(False)).alias("again"),
     )
-    rows = rows.repartitionByRange("key", "page_id", "sha1").sortWithinPartitions("key", "page_id", "sha1")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, last = None, None
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = ArchiveWriter(root)
         for batch in batches:
-            for r in batch.to_pylist():
-                out = out or RangeWriter(root, f"range-{uuid.uuid4().hex}", block_lines)
+            places = []
+            for r in batch.drop_columns(["key"]).to_pylist():
                 digest = base64.b32encode(bytes.fromhex(r["sha1"])).decode()
-                same = (r["page_id"], r["url"], digest)
-                again = r["shared"] and (r["revisits"] or same == last)
-                if not again:
-                    last = same
-                first = (r["first_id"], r["first_url"]) if again else None
-                out.add(r["key"], r["page_id"], record(r["page_id"], r["url"], r["payload"], digest, first))
+                first = (r["first_id"], r["first_url"]) if r["again"] else None
+                places.append(out.add(record(r["page_id"], r["url"], r["payload"], digest, first)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["key"],
+                    pa.array([place("", i)[1] for i in batch["page_id"].to_pylist()], pa.string()),
+                    *[pa.array([p[k] for p in places], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))],
+                ],
+                names=["key", "id", "archive", "at", "length"],
+            )
+        out.close()
+
+    captures = stage(rows.mapInArrow(write, "key string, id string, archive string, at bigint, length bigint"), "captures")
+    captures = captures.repartitionByRange("key", "id", "archive", "at").sortWithinPartitions("key", "id", "archive", "at")
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = None
+        for batch in batches:
+            for line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out = out or IndexWriter(root, block_lines)
+                out.add(list(line))
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x]) for x in out.close()], names=["key", "id", "name", "at", "length"]
             )
 
-    found = stage(rows.mapInArrow(run, "key string, id string, name string, at bigint, length bigint"), "ranges")
+    found = stage(captures.mapInArrow(index, "key string, id string, name string, at bigint, length bigint"), "ranges")
     return sorted(tuple(r) for r in found.collect())
 
 
 def lookup(captures: DataFrame, root: str, ranges: list[tuple]) -> DataFrame:
     """The records of ``captures`` (key, page_id), each distinct one looked up once, in key order."""
-    keys = captures.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    # by number: sizes of keys say nothing about the records that are read for them
+    n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = captures.repartitionByRange(n, "key", "page_id").sortWithinPartitions("key", "page_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, last = Reader(root, ranges), None
