@@ -19,15 +19,26 @@ C = F.col
 
 def scoring_ports(gold_ports: DataFrame, facilities: DataFrame) -> DataFrame:
     """Ports with valid coordinates and their facility flags; absent values get neutral defaults."""
-    flags = list(fixed.FACILITY_FLAGS)
-    side = facilities.select("WORLD_PORT_INDEX_NUMBER", *flags, "PORT_PRIMARY_TYPE")
-    joined = valid_ports(gold_ports).join(side, "WORLD_PORT_INDEX_NUMBER", "left")
+    side = facilities.select("WORLD_PORT_INDEX_NUMBER", *fixed.FACILITY_FLAGS, "PORT_PRIMARY_TYPE")
+    return _with_defaults(valid_ports(gold_ports).join(side, "WORLD_PORT_INDEX_NUMBER", "left"))
+
+
+def scoring_ports_of(gold_ports: DataFrame) -> DataFrame:
+    """As :func:`scoring_ports`, from the gold ports alone: the flags follow from the same row."""
+    flags = [c.alias(name) for name, c in ports.facility_bits().items()]
+    sizes = {"DRY_DOCK_SIZE": "DRY_DOCK", "REPAIR_CAPABILITY": "REPAIRS"}
+    kinds = [F.coalesce(c, F.lit("None")).alias(name) for name, c in sizes.items()]
+    flagged = valid_ports(gold_ports).select("*", *flags, *kinds).withColumn("PORT_PRIMARY_TYPE", ports.primary_type())
+    return _with_defaults(flagged.drop(*sizes))
+
+
+def _with_defaults(joined: DataFrame) -> DataFrame:
     defaults = {
         "MAXIMUM_VESSEL_LENGTH_M": fixed.NO_LENGTH_LIMIT,
         "MAXIMUM_VESSEL_BEAM_M": fixed.NO_BEAM_LIMIT,
         "SUPPLY_SCORE": 0,
         "COMMUNICATION_SCORE": 0,
-        **dict.fromkeys(flags, 0),
+        **dict.fromkeys(fixed.FACILITY_FLAGS, 0),
     }
     return joined.fillna(defaults)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions import dates, keys, seismic
+from tidewatch.functions import dates, keys, ports, seismic
 from tidewatch.functions.text import name_key
 from tidewatch.operators import dedup, joins
 from tidewatch.operators.aggregates import date_spine
@@ -57,11 +57,38 @@ def port_dimension(gold: DataFrame, facilities: DataFrame, supply: DataFrame) ->
     )
 
 
-def dim_port(gold: DataFrame, facilities: DataFrame, supply: DataFrame, as_of: str) -> DataFrame:
+def port_attributes(gold: DataFrame) -> DataFrame:
+    """As :func:`port_dimension`, from the gold ports alone: facilities and supplies follow from the same row."""
+    flags = {**ports.facility_bits(), **ports.supply_bits(), **ports.communication_bits()}
+    one = gold.select(
+        "WORLD_PORT_INDEX_NUMBER",
+        *_DIM_PORT_BASE,
+        *[c.alias(name) for name, c in flags.items()],
+        "CRANES_CONTAINER",
+        F.coalesce("DRY_DOCK", F.lit("None")).alias("DRY_DOCK_SIZE"),
+        F.coalesce("REPAIRS", F.lit("None")).alias("REPAIR_CAPABILITY"),
+        "SUPPLY_SCORE",
+        "SUPPLY_RATING",
+        "COMMUNICATION_SCORE",
+        "COMMUNICATION_RATING",
+        (C("SUPPLY_SCORE") + C("COMMUNICATION_SCORE")).alias("OVERALL_PORT_SCORE"),
+    ).withColumn("PORT_PRIMARY_TYPE", ports.primary_type())
+    return one.select("WORLD_PORT_INDEX_NUMBER", *_DIM_PORT_BASE, *_DIM_PORT_FACILITIES, *_DIM_PORT_SUPPLY)
+
+
+def _port_keys(attributes: DataFrame, as_of: str) -> DataFrame:
     key = keys.surrogate_key(keys.index_text("WORLD_PORT_INDEX_NUMBER"))
-    return port_dimension(gold, facilities, supply).withColumns(
-        {"PORT_SK": key, "DIM_LOADED_AT": dates.stamp(as_of)}
-    )
+    return attributes.withColumns({"PORT_SK": key, "DIM_LOADED_AT": dates.stamp(as_of)})
+
+
+def dim_port_of(gold: DataFrame, as_of: str) -> DataFrame:
+    """The port dimension in one pass over the gold ports."""
+    return _port_keys(port_attributes(gold), as_of)
+
+
+def dim_port(gold: DataFrame, facilities: DataFrame, supply: DataFrame, as_of: str) -> DataFrame:
+    """The port dimension from the three stored tables."""
+    return _port_keys(port_dimension(gold, facilities, supply), as_of)
 
 
 def dim_seismic_event(events: DataFrame, as_of: str) -> DataFrame:

@@ -105,7 +105,7 @@ class Domain:
     # star
     @once
     def dim_port(self):
-        return star.dim_port(self.gold_ports(), self.facilities(), self.supply(), A.AS_OF)
+        return star.dim_port_of(self.gold_ports(), A.AS_OF)
 
     @once
     def dim_event(self):
@@ -118,4 +118,4 @@ class Domain:
     @once
     def prepared_ports(self):
         risk = staged(recommend.recent_port_risk(self.gold_events(), self.silver_ports(), A.AS_OF), "port-risk")
-        return recommend.prepare_ports(recommend.scoring_ports(self.gold_ports(), self.facilities()), risk)
+        return recommend.prepare_ports(recommend.scoring_ports_of(self.gold_ports()), risk)

@@ -56,6 +56,38 @@ def a2(spark, sf_dir):
         "detail_link", "name", "departure_date", "destination_port_name", "reported_status", "report_date", "_INGESTED_AT")
 
 
+_DAY, _OTHER_DAY = "1995-06-19", "1997-02-01"
+
+
+@query(
+    "a2_read_vessels_day",
+    "SELECT detail_link, name, report_date, '2024-01-31 00:00:00' AS \"_INGESTED_AT\" FROM x_vessels"
+    f" WHERE substr(report_date, 1, 10) = '{_DAY}'",
+)
+def a2_day(spark, sf_dir):
+    """A2: two days written to their places, one of them read."""
+    raw = Domain(spark, sf_dir).vessels().select(*[C(f"`{c}`") for c in fixed.VESSEL_COLUMNS])
+    root = scratch(spark, "vessel-days")
+    for day in (_DAY, _OTHER_DAY):
+        _csv(raw.where(C("report_date").startswith(day)), readers.vessels_path(root, day), emptyValue="", escape='"')
+    return readers.read_vessels(spark, root, _DAY, A.AS_OF).select("detail_link", "name", "report_date", "_INGESTED_AT")
+
+
+@query(
+    "a3_replace_day",
+    f"SELECT detail_link, report_date FROM x_vessels WHERE substr(report_date, 1, 10) = '{_DAY}'"
+    " AND destination_port_name IS NOT NULL OR substr(report_date, 1, 10) = '" + _OTHER_DAY + "'",
+)
+def a3_day(spark, sf_dir):
+    """A3: two days loaded, then one of them loaded again from fewer reports."""
+    rows = Domain(spark, sf_dir).vessels().select("detail_link", "report_date", "destination_port_name")
+    path = scratch(spark, "vessel-loads")
+    for day in (_DAY, _OTHER_DAY):
+        writers.replace_day(rows, path, day)
+    writers.replace_day(rows.where("destination_port_name IS NOT NULL"), path, _DAY)
+    return spark.read.schema(rows.schema).parquet(path).select("detail_link", "report_date")
+
+
 @query(
     "a3_replace_slices",
     "SELECT source_id, action FROM (SELECT *, CAST(time AS DATE) AS d FROM x_seismic) WHERE action = 'update'"

@@ -126,12 +126,15 @@ def r5_stream(spark, sf_dir):
 
 @query("r6_backfill_then_stream", _NET)
 def r6(spark, sf_dir):
-    """All created rows as history, then all messages; the overlap adds nothing."""
+    """Every start brings the created rows of its own time as history, then the messages; the overlap adds nothing."""
     messages = A.event_messages(spark, sf_dir)
-    history = readers.parse_event_messages(messages, carry=("seq",)).filter("action = 'create'")
+    created = readers.parse_event_messages(messages, carry=("seq",)).filter("action = 'create'")
+    low, high = messages.agg(F.min("seq"), F.max("seq")).first()
+    slice_ = F.floor((C("seq") - low) * SLICES / (high - low + 1))
+    histories = iter([created.filter(slice_ == i) for i in range(SLICES)])
     table, cp = _event_table(spark, "backfilled"), scratch(spark, "cp")
     feed(spark, messages, "messages", lambda rows: events.backfill_then_stream(
-        history, readers.parse_event_messages(rows, carry=("seq",)), table, cp))
+        next(histories), readers.parse_event_messages(rows, carry=("seq",)), table, cp))
     return table.read().select("unid", "source_id", "action")
 
 

@@ -86,8 +86,8 @@ def backfill_then_stream(
     """Insert history that the table lacks, then follow the stream.
 
     Overlap between the two is harmless: history only creates, and a create
-    counts only for absent events. So every start may bring its own history,
-    and one that is repeated changes nothing.
+    counts only for absent events. So every start may bring its own history;
+    one that is repeated brings back only what was deleted meanwhile.
     """
     created = history.withColumn("action", F.lit("create"))
     apply_messages(table, created, sequence)
