@@ -50,7 +50,12 @@ def test_categories(spark):
     ("2024-01-02T03:04:05.678Z", "2024-01-02 03:04:05"), ("2024-01-02 03:04:05", "2024-01-02 03:04:05"),
     ("2024-01-02T03:04:05+02:00", "2024-01-02 01:04:05"), ("2024-01-02", "2024-01-02 00:00:00"),
     ("2024/01/02", "2024-01-02 00:00:00"), ("02/01/2024", "2024-01-02 00:00:00"),
-    ("1704164645", "2024-01-02 03:04:05"), ("soon", None),
+    ("1704164645", "2024-01-02 03:04:05"), ("soon", None), ("may be", None), ("Monday", None),
+    ("Tue, 02 Jan 2024 03:04:05 GMT", "2024-01-02 03:04:05"), ("Tue, 2 Jan 2024 03:04:05 +0200", "2024-01-02 01:04:05"),
+    ("2 January 2024 03:04:05", "2024-01-02 03:04:05"), ("Jan 2, 2024", "2024-01-02 00:00:00"),
+    ("Sept. 2, 2024", "2024-09-02 00:00:00"), ("September 2, 2024 3:04 pm", "2024-09-02 15:04:00"),
+    ("january 2, 2024 12:04:05 AM", "2024-01-02 00:04:05"), ("2 jan 2024 11:04:05PM", "2024-01-02 23:04:05"),
+    ("2024-01-02 03:04:05 PM", "2024-01-02 15:04:05"), ("2024-01-02 3:04 am", "2024-01-02 03:04:00"),
 ])
 def test_best_effort(spark, spelling, parsed):
     assert one(spark, F.date_format(text.parse_best_effort("x"), "yyyy-MM-dd HH:mm:ss"), x=spelling) == parsed

@@ -48,12 +48,35 @@ _STAMP_PATTERNS = [
 ]
 
 
+# with month names or a half-day mark, after _plain_words
+_WORDED_PATTERNS = [
+    *[f"{day} yyyy{time}" for day in ("d MMM", "MMM d") for time in (" HH:mm:ss xx", " HH:mm:ss", " HH:mm", "", " h:mm:ss a", " h:mm a")],
+    "yyyy-MM-dd h:mm:ss a",
+    "yyyy-MM-dd h:mm a",
+    "yyyy/MM/dd h:mm:ss a",
+]
+
+
+def _plain_words(text: Column) -> Column:
+    """Without weekday and commas; months as three letters, zone names as +0000, half-days in capitals."""
+    t = F.initcap(F.regexp_replace(text, ",", " "))
+    t = F.regexp_replace(t, r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]* +", "")
+    t = F.regexp_replace(t, r"\b(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?", "$1")
+    t = F.regexp_replace(t, r" (Gmt|Utc|Z)$", " +0000")
+    t = F.regexp_replace(F.regexp_replace(t, r"(\d) ?[Aa]m\b", "$1 AM"), r"(\d) ?[Pp]m\b", "$1 PM")
+    return F.regexp_replace(t, " +", " ")
+
+
 def parse_best_effort(x: Column | str) -> Column:
     """Timestamp from the date-time spellings seen in feeds, else NULL."""
     text = F.trim(_col(x).cast("string"))
     tries = [F.try_to_timestamp(text, F.lit(p)) for p in _STAMP_PATTERNS]
     epoch = F.when(text.rlike(r"^\d{10}$"), F.timestamp_seconds(text.try_cast("bigint")))
-    return F.coalesce(*tries, epoch)
+    plain = _plain_words(text)
+    worded = F.when(
+        text.rlike("[A-Za-z]{2}"), F.coalesce(*[F.try_to_timestamp(plain, F.lit(p)) for p in _WORDED_PATTERNS])
+    )
+    return F.coalesce(*tries, epoch, worded)
 
 
 # The port functions below run over dozens of columns. They take a column name
