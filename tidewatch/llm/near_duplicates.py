@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import stage, whole
+from tidewatch.llm.common import stage, tie_order, whole
 from tidewatch.llm.tokens import chained, mixed, word_hashes
 
 SHINGLE = 5
@@ -28,8 +28,8 @@ THRESHOLD = 0.8
 ROWS, BANDS = 6, 40
 #: Bytes of text worked on at once in a task.
 BLOCK_BYTES = 4 << 20
-#: Members of a bucket compared at once in the last step.
-TILE = 1_000
+#: Members of a bucket in one tile of the last step.
+TILE = 500
 
 
 def shingles(texts: list[bytes], width: int = SHINGLE):
@@ -96,7 +96,7 @@ def dart_signatures(h: np.ndarray, doc: np.ndarray, weights: np.ndarray, n_docs:
         seen = []
         while len(on):
             step += 1
-            dart = mixed(ch[on] ^ (np.uint64(step) * np.uint64(0xA0761D6478BD642F)))
+            dart = mixed(ch[on] ^ np.uint64(step * 0xA0761D6478BD642F % (1 << 64)))
             rank = rank - np.log(_uniform(dart))
             near = rank < reach[cdoc[on]]
             on, rank, dart = on[near], rank[near], mixed(dart[near])
@@ -147,7 +147,7 @@ def signer(rows: int, bands: int, width: int, weighted: bool):
                         pa.array(digests, pa.binary()),
                         pa.array(sizes.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
-                        pa.array([x.tobytes() for x in s.astype(np.uint8)], pa.binary()),
+                        pa.array([x.tobytes() for x in (s >> np.uint64(56)).astype(np.uint8)], pa.binary()),
                     ],
                     names=["doc_id", "raw", "digest", "n_shingles", "bands", "sketch"],
                 )
@@ -229,7 +229,7 @@ def classes(
     first = F.row_number().over(W.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last(), "raw", "uid"))
     nodes = signed.withColumn("nr", first).where("nr = 1").drop("nr")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "texts")
-    banded = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
+    banded = nodes.select("node", F.posexplode("bands").alias("no", "band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = stage(banded.join(hubs.drop("size"), "band"), "buckets")
     # per node and hub, in how many buckets they meet
@@ -283,25 +283,17 @@ def classes(
     # buckets whose members still are in several components
     c = comp.select(F.col("node").alias("n_"), "comp")
     open_ = members.join(c, F.col("node") == F.col("n_"), "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = stage(open_.select("band", "node", "hub", "comp", "n_shingles"), "open")
+    open_ = stage(open_.select("band", "no", "node", "comp"), "open")
     split = open_.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
     split = split.where("lo <> hi and size > 2").select("band", "size")
     tiles = open_.join(split, "band").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
-    tiles = tiles.join(nodes.select("node", "sketch"), "node")
+    tiles = tiles.join(nodes.select("node", "sketch", "bands"), "node").join(sets, "node")
     tiles = tiles.withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    tiles = tiles.select("band", "node", "comp", "sketch", "tile", other.alias("other"))
-    tiles = tiles.select(
-        "band",
-        "node",
-        "comp",
-        "sketch",
-        "tile",
-        F.least("tile", "other").alias("x"),
-        F.greatest("tile", "other").alias("y"),
-    )
-    near = tiles.groupBy("band", "x", "y").applyInArrow(alike(threshold, rows * bands), "a bigint, b bigint")
-    links = links.unionByName(stage(similar(near.select(*order("a", "b")).distinct()), "links-3"))
+    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    tiles = tiles.withColumn("x", F.least("tile", "other")).withColumn("y", F.greatest("tile", "other"))
+    tiles = tiles.drop("size", "tiles", "other")
+    found = tiles.groupBy("band", "x", "y").applyInArrow(tile_links(threshold, rows, bands, weighted), "a bigint, b bigint")
+    links = links.unionByName(stage(found.select(*order("a", "b")).distinct(), "links-3"))
     comp = components(links)
 
     c = comp.select(F.col("node").alias("n_"), "comp")
@@ -320,26 +312,45 @@ def classes(
     )
 
 
-def alike(threshold: float, k: int):
-    """Pairs of a tile pair in different components whose sketches agree about as often as the threshold asks.
+def tile_links(threshold: float, rows: int, bands: int, weighted: bool):
+    """Links (a, b) that join what still is apart within a pair of tiles of one bucket; at most one less than its members.
 
-    Four standard deviations are allowed for, so a pair at the threshold is missed with
-    probability below 1e-4, and only if no other link joins its components.
+    Pairs are compared in the first bucket they share. Those whose sketches agree
+    far less often than the threshold asks are left out: four standard deviations are
+    allowed for, so a pair at the threshold is missed with probability below 1e-4,
+    and only if no other link joins its components. The others are compared exactly.
     """
+    k = rows * bands
     least = (threshold - 4 * np.sqrt(threshold * (1 - threshold) / k)) * k
 
     def run(key, t):
         node, comp, tile = (t[c].to_numpy() for c in ("node", "comp", "tile"))
-        x, y = key[1].as_py(), key[2].as_py()
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        no, x, y = t["no"][0].as_py(), key[1].as_py(), key[2].as_py()
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), k)
+        banded = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), bands)
+        lists = t["shingles"].combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        times = t["times"].combine_chunks().values.to_numpy()
+        group = np.unique(comp, return_inverse=True)[1]
+        size = lambda i: times[ends[i] : ends[i + 1]].sum() if weighted else ends[i + 1] - ends[i]
         left, right = np.flatnonzero(tile == x), np.flatnonzero(tile == y)
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        a, b = [], []
         for i in left:
-            near = right[(sketch[right] == sketch[i]).sum(1) >= least]
-            near = near[(comp[near] != comp[i]) & ((x != y) | (near > i))]
-            a.append(np.full(len(near), node[i]))
-            b.append(node[near])
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+            near = right[(group[right] != group[i]) & ((x != y) | (right > i))]
+            near = near[(sketch[near] == sketch[i]).sum(1) >= least]
+            near = near[(banded[near] == banded[i]).argmax(1) == no]
+            for j in near:
+                if group[i] == group[j]:
+                    continue
+                _, p, q = np.intersect1d(
+                    flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]], assume_unique=True, return_indices=True
+                )
+                common = np.minimum(times[ends[i] + p], times[ends[j] + q]).sum() if weighted else len(p)
+                if common >= threshold * (size(i) + size(j) - common):
+                    a.append(node[i])
+                    b.append(node[j])
+                    group[group == group[j]] = group[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -347,9 +358,9 @@ def alike(threshold: float, k: int):
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The kept document of each class, with the columns of ``docs``."""
     kept = classes(docs, **options).where("kept").select(F.col("doc_id").alias("_i"), F.col("raw").alias("_r"))
-    d = docs.withColumn("_raw", F.md5(whole("text").cast("binary"))).join(kept, F.col("_raw") == F.col("_r"))
-    d = d.where(F.col("doc_id").cast("bigint").eqNullSafe(F.col("_i")))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    d = docs.select(row.alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.md5(whole("text").cast("binary")).alias("raw"))
+    d = d.join(kept, F.col("raw") == F.col("_r")).where(F.col("id").eqNullSafe(F.col("_i")))
     # rows equal in id and text: one of them
-    nr = F.row_number().over(W.partitionBy("_raw").orderBy(*[c for c, n in zip(columns, docs.columns, strict=True) if n != "text"]))
-    return d.withColumn("_nr", nr).where("_nr = 1").select(columns)
+    nr = F.row_number().over(W.partitionBy("raw").orderBy(*tie_order(docs)))
+    return d.withColumn("nr", nr).where("nr = 1").select("row.*")
