@@ -176,14 +176,15 @@ class Classifier:
 
     def margins(self, rows: DataFrame) -> DataFrame:
         out = self.regression.transform(self.vectors.transform(with_grams(rows)))
-        return out.withColumn("margins", vector_to_array("rawPrediction")).drop(
-            "features", "rawPrediction", "probability", "prediction", "grams"
-        )
+        out = out.withColumn("margins", vector_to_array("rawPrediction")).withColumn("top", F.array_max("margins"))
+        out = out.drop("features", "rawPrediction", "probability", "prediction", "grams")
+        # the row number keeps filters above the scores; pushed below, they would work them out once per use
+        return out.withColumn("nr", F.monotonically_increasing_id())
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with family (unknown if not confident), probability, similarity and confirmed."""
+        """Those of ``rows`` that a family is predicted for, with family, probability, similarity and confirmed."""
         m = self.margins(rows)
-        top = F.array_max("margins")
+        top = F.col("top")
         # the largest margin first; the rest is worked out for rows that aren't unknown by it
         m = m.withColumn("at", (F.array_position("margins", top) - 1).cast("int"))
         t = F.lit(self.temperature)
@@ -203,7 +204,7 @@ class Classifier:
             ])
             similarity = F.when(F.col("family") == f, best).otherwise(similarity)
         m = m.withColumn("similarity", similarity).withColumn("confirmed", F.col("similarity") >= ALIKE)
-        return m.drop("margins", "words", "at")
+        return m.where((F.col("nr") >= 0) & (F.col("family") != UNKNOWN)).drop("margins", "top", "nr", "words", "at")
 
 
 def fit(docs: DataFrame) -> Classifier:
@@ -217,7 +218,7 @@ def fit(docs: DataFrame) -> Classifier:
     model = Classifier(vectors, regression, 1.0)
     held = model.margins(rows.where("hold").drop("words", "grams"))
     own = F.element_at("margins", (F.col("label") + 1).cast("int"))
-    top = F.array_max("margins")
+    top = F.col("top")
     temperatures = [0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0]
 
     def loss(t: float) -> Column:
@@ -237,4 +238,4 @@ def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     windows, so a notice may be found in two parts. Other columns are not read.
     """
     model = model or fit(docs)
-    return model.predict(paragraphs(docs)).where(F.col("family") != UNKNOWN)
+    return model.predict(paragraphs(docs))
