@@ -24,6 +24,13 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Let Spark hand texts to Python in batches of at most ``rows``: the default of 10,000 takes tens of megabytes on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def whole(text: str | Column = "text") -> Column:
     """The text, or the empty string for null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

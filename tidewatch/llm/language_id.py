@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import crc_mod, whole
+from tidewatch.llm.common import crc_mod, small_batches, whole
 from tidewatch.llm.tokens import mixed
 
 DIMENSIONS = 1_024
@@ -23,7 +23,9 @@ UNKNOWN = "und"
 #: Texts with a smaller cosine than this are as far from every language as random vectors are (1 / sqrt(DIMENSIONS)).
 LEAST_COSINE = 0.03
 #: Cells of the count matrix (texts x trigrams) worked on at once, and characters.
-CELLS, CHARS = 4 << 20, 1 << 20
+CELLS, CHARS = 1 << 20, 1 << 19
+#: Texts of a batch turned into Python strings at once.
+SLICE = 512
 
 
 def letters_only(text: str = "text") -> Column:
@@ -98,10 +100,16 @@ def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     return out
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def learner(dimensions: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             langs, texts = np.array(batch["lang"].to_pylist(), object), batch["letters"].to_pylist()
             for lang in sorted(set(langs)):
                 own = [texts[i] for i in np.flatnonzero(langs == lang)]
@@ -130,6 +138,7 @@ def learn_profiles(
     Bundles are sums of whole numbers, so they don't depend on the order of
     rows. What reaches the driver is one vector per language.
     """
+    small_batches(docs.sparkSession)
     train = crc_mod("doc_id", 3) != 1 if training is None else training
     t = docs.where(train & F.col("lang").isNotNull()).select(F.col("lang"), letters_only().alias("letters"))
     parts = t.where("letters <> ''").mapInArrow(learner(dimensions), "lang string, bundle array<double>")
@@ -166,7 +175,7 @@ def identify(docs: DataFrame, training: Column | None = None, dimensions: int =
     held = crc_mod("doc_id", 3) == 1 if training is None else ~training
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             pred, score = predictions(batch["letters"].to_pylist(), langs, profiles)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(pred, pa.string()), pa.array(score)],
@@ -185,7 +194,7 @@ def in_a_language(docs: DataFrame, least: float = LEAST_COSINE, **options) -> Da
     langs, profiles = learn_profiles(docs, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch["letters"].to_pylist()
             _, score = predictions(texts, langs, profiles)
             good = [bool(t) and (not langs or s >= least) for t, s in zip(texts, score, strict=True)]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import crc_mod, stage, whole
+from tidewatch.llm.common import crc_mod, small_batches, stage, whole
 from tidewatch.llm.tokens import chained, word_hashes
 
 CHUNK_BYTES = 6 << 20
@@ -97,21 +97,23 @@ def make_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["chunk", "dev", "ids", "held", "lens", "words", "seq"],
         )
 
+    waiting = {True: [[], [], [], 0], False: [[], [], [], 0]}
+    part = 0
     for batch in batches:
         cols = [batch[c].to_pylist() for c in ("doc_id", "dev", "held", "text", "part")]
-        waiting = {True: [[], [], [], 0], False: [[], [], [], 0]}
         for doc_id, dev, held, text, part in zip(*cols, strict=True):
             w = waiting[dev]
-            if w[3] and w[3] + len(text) > CHUNK_BYTES:
+            size = len(text) + 16  # many empty texts fill a chunk as well
+            if w[3] and w[3] + size > CHUNK_BYTES:
                 yield chunk(dev, *w[:3], part)
                 w = waiting[dev] = [[], [], [], 0]
             w[0].append(doc_id)
             w[1].append(held)
             w[2].append(text)
-            w[3] += len(text)
-        for dev, w in waiting.items():
-            if w[0]:
-                yield chunk(dev, *w[:3], part)
+            w[3] += size
+    for dev, w in waiting.items():
+        if w[0]:
+            yield chunk(dev, *w[:3], part)
 
 
 def opened(row) -> tuple:
@@ -321,6 +323,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, deleted: Co
     scored, and counted, each. An empty table gives no rows; with nothing to
     learn from every token has probability 1/(V+1) = 1. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     held = crc_mod("doc_id", 5) == 1 if held_out is None else held_out
     dev = (crc_mod("doc_id", 20) == 2 if deleted is None else deleted) & ~held
     d = docs.select(

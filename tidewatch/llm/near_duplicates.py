@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import stage, tie_order, whole
+from tidewatch.llm.common import small_batches, stage, tie_order, whole
 from tidewatch.llm.tokens import chained, mixed, word_hashes
 
 SHINGLE = 5
@@ -216,6 +216,7 @@ def classes(
     the bucket's first one; what then still lies in different components of
     the same bucket is compared in tiles. All decisions rest on exact similarity.
     """
+    small_batches(docs.sparkSession)
     d = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.md5(whole("text").cast("binary")).alias("raw"),
