@@ -2,7 +2,8 @@ import random
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
-from tidewatch.llm.packing import best_fit, conflict_bits, pack
+from tidewatch.llm.packing import best_fit, conflict_bits, pack, pack_apart
+from tidewatch.llm.queries import QUERIES
 
 
 def plain(sizes, keys, limits, capacity):
@@ -63,5 +64,20 @@ def test_copies_never_meet(spark):
     assert rows.agg(F.max("count")).first()[0] == 1
 
 
+def test_near_copies_never_meet(spark, tmp_path):
+    base = [f"w{j}" for j in range(100)]
+    rows = []
+    for i in range(240):
+        near = i % 3 == 0
+        words = [*base[: i % 100], f"other{i}", *base[i % 100 + 1 :]] if near else [f"x{i}y{j}" for j in range(30)]
+        rows.append((None if i % 9 == 0 else i, " ".join(words), None, f"s{i}", 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    packed = QUERIES["op2_best_fit_packing"](spark, str(tmp_path)).collect()
+    near = Counter(r["bin_id"] for r in packed if r["n_words"] == 100)
+    assert len(packed) == 240 and sum(near.values()) == 80 and max(near.values()) == 1
+
+
 def test_empty(empty):
     assert pack(empty).collect() == []
+    assert pack_apart(empty).collect() == []

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -125,7 +125,7 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]
         i = j
 
 
-def signer(rows: int, bands: int, width: int, weighted: bool):
+def signer(rows: int, bands: int, width: int, weighted: bool, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _blocks(batch):
@@ -148,8 +148,9 @@ def signer(rows: int, bands: int, width: int, weighted: bool):
                         pa.array(sizes.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
                         pa.array([x.tobytes() for x in (s >> np.uint64(56)).astype(np.uint8)], pa.binary()),
+                        *[part[c] for c in carried],
                     ],
-                    names=["doc_id", "raw", "digest", "n_shingles", "bands", "sketch"],
+                    names=["doc_id", "raw", "digest", "n_shingles", "bands", "sketch", *carried],
                 )
 
     return run
@@ -200,8 +201,9 @@ def classes(
     bands: int = BANDS,
     width: int = SHINGLE,
     weighted: bool = False,
+    carry: Column | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, kept, raw (md5 of its text).
+    """One row per document: doc_id, class_id, kept, raw (md5 of its text), class_no, uid and, if given, carry (as ``carried``).
 
     Classes are the connected components of similarity >= ``threshold``, over
     sets of word shingles (``weighted``: over multisets). class_id is the
@@ -210,7 +212,8 @@ def classes(
     Words are lower-cased (A-Z). A text of fewer than ``width`` words is one
     shingle; all texts without words, null ones too, are copies of each other.
     Repeated rows are copies; which of several equal rows is kept doesn't
-    matter, but ``kept`` is set on one of them only. Other columns are not read.
+    matter, but ``kept`` is set on one of them only. class_no is one number per class, never null;
+    uid numbers the rows. Other columns are not read.
 
     Copies are one node each. In each band bucket every node is compared with
     the bucket's first one; what then still lies in different components of
@@ -221,14 +224,17 @@ def classes(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.md5(whole("text").cast("binary")).alias("raw"),
         whole("text").cast("binary").alias("text"),
+        *([] if carry is None else [carry.alias("carried")]),
     )
+    carried = [f.name for f in d.schema if f.name == "carried"]
     signed = d.mapInArrow(
-        signer(rows, bands, width, weighted),
-        "doc_id bigint, raw string, digest binary, n_shingles bigint, bands array<bigint>, sketch binary",
+        signer(rows, bands, width, weighted, carried),
+        "doc_id bigint, raw string, digest binary, n_shingles bigint, bands array<bigint>, sketch binary"
+        + "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in carried),
     )
     signed = stage(signed.withColumn("uid", F.monotonically_increasing_id()), "darts")
     first = F.row_number().over(W.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last(), "raw", "uid"))
-    nodes = signed.withColumn("nr", first).where("nr = 1").drop("nr")
+    nodes = signed.drop(*carried).withColumn("nr", first).where("nr = 1").drop("nr")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "texts")
     banded = nodes.select("node", F.posexplode("bands").alias("no", "band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -310,6 +316,9 @@ def classes(
         (F.col("uid") == F.col("head.u_")).alias("kept"),
         F.col("texts").alias("class_texts"),
         "raw",
+        F.col("comp").alias("class_no"),
+        "uid",
+        *carried,
     )
 
 

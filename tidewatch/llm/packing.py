@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm import near_duplicates
 from tidewatch.llm.common import n_words, whole
 
 #: Sequence length in words.
@@ -175,3 +176,15 @@ def pack(
             yield flush()
 
     return rows.mapInArrow(run, SCHEMA)
+
+
+def pack_apart(docs: DataFrame, **options) -> DataFrame:
+    """As :func:`pack`, with at most one rest of each class of near duplicates in a bin.
+
+    Rows are dealt to tasks by their number, so a large class is spread over all blocks;
+    texts stay where they are read.
+    """
+    carry = F.struct(n_words("text").alias("size"), F.col("source").cast("string").alias("source"))
+    rows = near_duplicates.classes(docs, carry=carry).select("doc_id", "class_no", "uid", "carried.size", "carried.source")
+    rows = rows.repartition("uid").sortWithinPartitions("uid")
+    return pack(rows, size=F.col("size"), cluster=F.col("class_no"), **options)

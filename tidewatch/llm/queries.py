@@ -45,8 +45,8 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of 2,048 words."""
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """All documents packed into sequences of 2,048 words, near copies apart."""
+    return packing.pack_apart(table(spark, sf_dir, "documents"))
 
 
 @query
