@@ -1,6 +1,6 @@
 import numpy as np
 from pyspark.sql import functions as F
-from tidewatch.llm.neighbours import nearest
+from tidewatch.llm.neighbours import LEAVES, Forest, lengthened, nearest
 
 
 def plain(rows, k=20, every=20):
@@ -58,3 +58,21 @@ def test_recall(spark):
         few.setdefault(r["query_id"], []).append(r["vec_id"])
     found = [len(set(few[q]) & {x[2] for x in want[q]}) / 20 for q in want]
     assert np.mean(found) >= 0.7  # leaves of a thirtieth of such data, which have no structure
+
+
+def test_share_of_full_and_half_full_leaves():
+    r = np.random.default_rng(5)
+    x = r.normal(size=(10_000, 64))
+    x = lengthened(x / np.linalg.norm(x, axis=1, keepdims=True), 1.0)
+    for rows in (8_190, 8_210):  # leaves of 64 and of 32
+        forest = Forest(x[:rows], leaf_rows=64)
+        sizes, at, q = np.bincount(forest.place(x[:rows]).ravel()), forest.place(x), x[:100]
+        recall = []
+        for i, seen in enumerate(forest.search(q, LEAVES)):
+            assert sizes[seen].sum() >= 0.85 * rows
+            hit = np.zeros(forest.leaves, bool)
+            hit[seen] = True
+            scores = x[:, :64] @ q[i, :64]
+            scores[i] = -1
+            recall.append(hit[at[np.argsort(-scores)[:20]]].any(1).mean())
+        assert np.mean(recall) >= 0.94

@@ -2,8 +2,8 @@
 
 The trees are grown on a bounded sample; every vector is then put into one
 leaf of each tree. A query walks all trees at once through one priority
-queue, nearest margin first, until it has seen its number of leaves; the
-vectors in those leaves are its candidates and are reranked by the exact
+queue, nearest margin first, until it has seen its number of leaves and its
+share of the sample; the vectors in those leaves are its candidates and are reranked by the exact
 inner product. For inner products of vectors that differ in length, they get
 one more component that makes all equally long, and queries a zero.
 
@@ -29,8 +29,11 @@ TREES = 20
 SAMPLE_ROWS = 65_536
 #: Sample vectors in a leaf, at most.
 LEAF_ROWS = 512
-#: Leaves a query sees, over all trees.
+#: Leaves a query sees at least, over all trees.
 LEAVES = 110
+#: Sample vectors in the leaves a query sees at least, as a share of the sample (trees count each on their own).
+#: The sample's size decides whether leaves are full or half full, so their number alone doesn't fix the share.
+COVERED = 0.86
 #: Vectors of a leaf in one group, about; larger leaves are dealt to several.
 GROUP_ROWS = 50_000
 SEED = 20
@@ -45,10 +48,11 @@ class Forest:
     def __init__(self, sample: np.ndarray, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = SEED):
         rng = np.random.default_rng(seed)
         self.roots, normals, offsets, near, far = [], [], [], [], []
-        self.leaves = 0
+        self.leaves, self.rows, self.sizes = 0, len(sample), []
 
         def grow(rows) -> int:
             if len(rows) <= leaf_rows:
+                self.sizes.append(len(rows))
                 self.leaves += 1
                 return -self.leaves
             a, b = sample[rng.choice(rows, 2, replace=False)]
@@ -57,6 +61,7 @@ class Forest:
             cut = np.median(side)
             right = side > cut
             if not right.any() or right.all():  # equal projections: part them evenly all the same
+                self.sizes.append(len(rows))
                 self.leaves += 1
                 return -self.leaves
             i = len(normals)
@@ -85,15 +90,17 @@ class Forest:
             out[:, t] = -1 - at
         return out
 
-    def search(self, q: np.ndarray, leaves: int) -> list[list[int]]:
-        """The first ``leaves`` leaves of each row, by the smallest margin on the way."""
+    def search(self, q: np.ndarray, leaves: int, covered: float = COVERED) -> list[list[int]]:
+        """The first leaves of each row by the smallest margin on the way: ``leaves`` of them, and as many more as
+        it takes until they hold ``covered`` times the sample."""
         near, far, found = self.near.tolist(), self.far.tolist(), []
         for s in range(0, len(q), 64):
             for margins in (q[s : s + 64] @ self.normals.T - self.offsets).tolist():
                 queue = [(-np.inf, r) for r in self.roots]
                 heapq.heapify(queue)
                 seen: list[int] = []
-                while queue and len(seen) < leaves:
+                rows = 0
+                while queue and (len(seen) < leaves or rows < covered * self.rows):
                     missed, node = heapq.heappop(queue)
                     while node >= 0:
                         m = margins[node]
@@ -101,6 +108,7 @@ class Forest:
                         heapq.heappush(queue, (max(missed, abs(m)), other))
                         node = better
                     seen.append(-1 - node)
+                    rows += self.sizes[-1 - node]
                 found.append(seen)
         return found
 
@@ -157,6 +165,7 @@ def nearest(
     leaves: int = LEAVES,
     leaf_rows: int = LEAF_ROWS,
     sample_rows: int = SAMPLE_ROWS,
+    covered: float = COVERED,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for the rows where ``queries`` holds, their ``k`` nearest found.
 
@@ -207,7 +216,7 @@ def nearest(
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = forest.search(lengthened(matrix(batch["vector"]), longest, True), leaves)
+            found = forest.search(lengthened(matrix(batch["vector"]), longest, True), leaves, covered)
             seen = np.repeat(np.array([x for f in found for x in f], np.int64), blocks)
             index = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) * blocks for f in found]))
             yield pa.RecordBatch.from_arrays(
