@@ -55,3 +55,32 @@ def test_empty_and_nothing_to_learn(spark, empty):
     docs = spark.createDataFrame([(1, "some words", None)], "doc_id bigint, text string, lang string")
     assert [(r["lang_pred"], r["score"]) for r in L.identify(docs).collect()] == [("und", 0.0)]
     assert L.in_a_language(docs).count() == 1
+
+
+def test_unlike_every_language(spark):
+    import random
+
+    r = random.Random(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = [
+        " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 9))) for _ in range(n))
+        for n in (10, 30, 100, 1000)
+        for _ in range(25)
+    ]
+    odd += [
+        "今天天气很好，我们一起去公园散步，然后在湖边的小餐馆吃午饭。",
+        "오늘은 날씨가 좋아서 우리는 공원에 산책하러 갔습니다.",
+        "วันนี้อากาศดีมากเราจึงไปเดินเล่นในสวนสาธารณะด้วยกัน",
+        "आज मौसम बहुत अच्छा है इसलिए हम बगीचे में टहलने गए।",
+        "Dzisiaj jest bardzo ładna pogoda, więc poszliśmy na spacer do parku.",
+        "Сегодня очень хорошая погода, поэтому мы пошли гулять в парк.",
+        "Σήμερα ο καιρός είναι πολύ καλός και πήγαμε βόλτα στο πάρκο.",
+        "الطقس جميل جدا اليوم لذلك ذهبنا للتنزه في الحديقة",
+        "מזג האוויר היום יפה מאוד ולכן הלכנו לטייל בפארק",
+        "今日はとても天気がいいので、公園へ散歩に行きました。",
+    ]
+    new = spark.createDataFrame([(-1 - i, t, None, "odd", len(t)) for i, t in enumerate(odd)], docs.schema)
+    kept = [r["doc_id"] for r in L.in_a_language(docs.unionByName(new)).select("doc_id").collect()]
+    assert sum(i < 0 for i in kept) <= 1
+    some = docs.where(r"regexp_like(text, '\\p{L}')").count()
+    assert sum(i >= 0 for i in kept) >= 0.99 * some

@@ -8,6 +8,7 @@ the prediction is the language with the largest cosine.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,17 @@ from tidewatch.llm.tokens import mixed
 
 DIMENSIONS = 1_024
 UNKNOWN = "und"
-#: Texts with a smaller cosine than this are as far from every language as random vectors are (1 / sqrt(DIMENSIONS)).
+#: No text with a smaller cosine is kept, whatever the calibration says: one standard deviation of a chance cosine
+#: (1 / sqrt(DIMENSIONS)). What decides for most texts are the cutoffs of :func:`learn_cutoffs`.
 LEAST_COSINE = 0.03
+#: Share of the training texts of a language and length that may fall below its cutoff.
+LOST = 0.005
+#: Fewest texts a cutoff is taken from: for the quantile, and for half of the smallest cosine.
+ENOUGH, SOME = 200, 20
+#: Length classes (binary digits of the number of letters) that beginnings of long texts are cut to.
+FIRST_CLASS, CLASSES = 3, 5
+#: Steps of a cosine in the histograms.
+STEPS = 1_000
 #: Cells of the count matrix (texts x trigrams) worked on at once, and characters.
 CELLS, CHARS = 1 << 20, 1 << 19
 #: Texts of a batch turned into Python strings at once.
@@ -130,23 +140,111 @@ def learner(dimensions: int):
     return run
 
 
-def learn_profiles(
-    docs: DataFrame, training: Column | None = None, dimensions: int = DIMENSIONS
-) -> tuple[list[str], np.ndarray]:
-    """(languages, their unit vectors) from the texts with letters and a language in ``training``.
+def learn_sums(docs: DataFrame, training: Column | None = None, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
+    """(languages, their bundles) from the texts with letters and a language in ``training``.
 
     Bundles are sums of whole numbers, so they don't depend on the order of
     rows. What reaches the driver is one vector per language.
     """
     small_batches(docs.sparkSession)
-    train = crc_mod("doc_id", 3) != 1 if training is None else training
-    t = docs.where(train & F.col("lang").isNotNull()).select(F.col("lang"), letters_only().alias("letters"))
-    parts = t.where("letters <> ''").mapInArrow(learner(dimensions), "lang string, bundle array<double>")
+    parts = training_texts(docs, training).mapInArrow(learner(dimensions), "lang string, bundle array<double>")
     cells = parts.select("lang", F.posexplode("bundle").alias("i", "v")).groupBy("lang", "i").agg(F.sum("v").alias("v"))
     rows = cells.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("v")).orderBy("lang").collect()
-    langs = [r["lang"] for r in rows]
-    p = np.array([[x["v"] for x in r["v"]] for r in rows]).reshape(len(rows), dimensions)
-    return langs, p / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
+    return [r["lang"] for r in rows], np.array([[x["v"] for x in r["v"]] for r in rows]).reshape(len(rows), dimensions)
+
+
+def training_texts(docs: DataFrame, training: Column | None) -> DataFrame:
+    train = crc_mod("doc_id", 3) != 1 if training is None else training
+    t = docs.where(train & F.col("lang").isNotNull()).select(F.col("lang"), letters_only().alias("letters"))
+    return t.where("letters <> ''")
+
+
+def unit(v: np.ndarray) -> np.ndarray:
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def learn_profiles(
+    docs: DataFrame, training: Column | None = None, dimensions: int = DIMENSIONS
+) -> tuple[list[str], np.ndarray]:
+    """(languages, their unit vectors), see :func:`learn_sums`."""
+    langs, sums = learn_sums(docs, training, dimensions)
+    return langs, unit(sums)
+
+
+def length_class(texts: list[str]) -> np.ndarray:
+    return np.array([len(t).bit_length() - 1 for t in texts], np.int64)
+
+
+def calibrator(langs: list[str], sums: np.ndarray):
+    """Counts of training texts by predicted language, length class and cosine; each text is first taken out of its language's bundle.
+
+    Of a long text its beginning counts as well, cut to a length that follows from the
+    text's own, so that short lengths are learned from all texts.
+    """
+    number = {x: i for i, x in enumerate(langs)}
+    profiles = unit(sums)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in sliced(batches):
+            texts = batch["letters"].to_pylist()
+            own = np.array([number[x] for x in batch["lang"].to_pylist()], np.int64)
+            v = bundles(texts, sums.shape[1]).astype(float)
+            others = sums[own] - v
+            alone = np.linalg.norm(others, axis=1) < 1e-6
+            others = unit(others)
+            cuts = [1 << FIRST_CLASS + len(t) % CLASSES for t in texts]
+            long = np.flatnonzero([len(t) >= 2 * c for t, c in zip(texts, cuts, strict=True)])
+            starts = [texts[i][: cuts[i]] for i in long]
+            for part, at, x in (
+                (texts, np.arange(len(texts)), v),
+                (starts, long, bundles(starts, sums.shape[1]).astype(float)),
+            ):
+                x = unit(x)
+                cos = x @ profiles.T
+                cos[np.arange(len(at)), own[at]] = (x * others[at]).sum(1)
+                best, score = cos.argmax(1), np.clip(cos.max(1, initial=0.0), 0.0, 1.0)
+                steps = (score * STEPS).astype(int)
+                counts.update(
+                    k for k, out in zip(zip(best.tolist(), length_class(part).tolist(), steps.tolist()), alone[at]) if not out
+                )
+        if counts:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in [*zip(*counts, strict=True), list(counts.values())]],
+                names=["lang", "length", "step", "n"],
+            )
+
+    return run
+
+
+def learn_cutoffs(docs: DataFrame, langs: list[str], sums: np.ndarray, training: Column | None = None) -> dict[tuple[int, int], float]:
+    """Least cosine by language number and length class, from all training texts; a class that is missing has none.
+
+    It is the LOST-quantile of the cosines of such texts with profiles they are no part
+    of. Where a language has fewer than ENOUGH of a length, all languages count together, then shorter
+    lengths too (cosines rise with length). Where all these are too few, half of their smallest cosine is taken.
+    Junk among the training texts can pull that quantile down to chance, so a cutoff is a third of the median at least.
+    What reaches the driver is a histogram of bounded size.
+    """
+    if not langs:
+        return {}
+    found = training_texts(docs, training).mapInArrow(calibrator(langs, sums), "lang bigint, length bigint, step bigint, n bigint")
+    found = found.groupBy("lang", "length", "step").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros((len(langs), 1 + max([r["length"] for r in found], default=0), STEPS + 1), np.int64)
+    for r in found:
+        counts[r["lang"], r["length"], r["step"]] = r["n"]
+    out = {}
+    for length in range(counts.shape[1]):
+        for lang in range(len(langs)):
+            c = counts[lang, length]
+            from_ = length + 1
+            while c.sum() < ENOUGH and from_ > 0:
+                from_ -= 1
+                c = counts[:, from_ : length + 1].sum((0, 1))
+            if c.sum() >= SOME:
+                least, middle = (float(np.flatnonzero(c.cumsum() > q * c.sum())[0]) / STEPS for q in (LOST, 0.5))
+                out[lang, length] = max(least if c.sum() >= ENOUGH else least / 2, middle / 3)
+    return out
 
 
 def predictions(texts: list[str], langs: list[str], profiles: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -186,18 +284,31 @@ def identify(docs: DataFrame, training: Column | None = None, dimensions: int =
     return d.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def in_a_language(docs: DataFrame, least: float = LEAST_COSINE, **options) -> DataFrame:
+def in_a_language(
+    docs: DataFrame, least: float = LEAST_COSINE, training: Column | None = None, dimensions: int = DIMENSIONS
+) -> DataFrame:
     """The documents whose text looks like one of the learned languages, with the columns of ``docs``.
 
-    Rejected are `und` and texts with a cosine below ``least``. With nothing to learn from, texts with letters stay.
+    Rejected are `und`, texts with a cosine below ``least``, and those below the cutoff
+    of their predicted language and length (:func:`learn_cutoffs`). A text of a few letters
+    can be as far from its language as chance; there the cutoff keeps the learned texts, and
+    some others with them. With nothing to learn from, texts with letters stay.
     """
-    langs, profiles = learn_profiles(docs, **options)
+    langs, sums = learn_sums(docs, training, dimensions)
+    profiles, cutoffs = unit(sums), learn_cutoffs(docs, langs, sums, training)
+    number = {x: i for i, x in enumerate(langs)}
+    longest = max((k for _, k in cutoffs), default=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = batch["letters"].to_pylist()
-            _, score = predictions(texts, langs, profiles)
-            good = [bool(t) and (not langs or s >= least) for t, s in zip(texts, score, strict=True)]
+            pred, score = predictions(texts, langs, profiles)
+            # longer than all of the training texts: as the longest of them
+            lengths = np.minimum(length_class(texts), longest).tolist()
+            good = [
+                bool(t) and (not langs or s >= max(least, cutoffs.get((number[p], k), 0.0)))
+                for t, p, s, k in zip(texts, pred, score, lengths, strict=True)
+            ]
             yield pa.RecordBatch.from_struct_array(batch["row"].filter(pa.array(good, pa.bool_())))
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
