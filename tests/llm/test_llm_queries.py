@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_rendezvous_shards": "doc_id size text_crc32 law shard slot grown_shard",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_warc": "page_id payload_bytes payload_digest record_type refers_to",
+    "op11_centroid_clusters": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 
 
@@ -39,5 +40,5 @@ def test_columns(spark, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{k}" for k in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{k}" for k in range(1, 12)), "pipeline"}
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())

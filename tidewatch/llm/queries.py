@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewatch.llm import (
+    centroids,
     language_id,
     language_model,
     licences,
@@ -29,6 +30,7 @@ ORACLES: dict[str, str] = {
     "op8_rendezvous_shards": sql.OP8,
     "op9_quality_rules": sql.OP9,
     "op10_warc": sql.OP10,
+    "op11_centroid_clusters": sql.OP11,
 }
 
 
@@ -99,6 +101,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every usable vector."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from raw documents to packed sequences."""

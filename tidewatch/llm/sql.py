@@ -146,3 +146,33 @@ SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d
 """
+
+_OP11_NEAREST = """
+SELECT p.u, arg_min(p.n, [p.d, p.n]) AS n, min(p.d)::BIGINT AS d
+FROM (SELECT v.u, c.n, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN {c} c ON v.i = c.i GROUP BY v.u, c.n) p GROUP BY p.u"""
+
+
+def op11(rounds: int = 5, k: int = 40) -> str:
+    """One pair of subqueries per round: assignment, then centroids."""
+    steps = "".join(
+        f"a{r} AS ({_OP11_NEAREST.format(c=f'c{r}')}),\n"
+        f"m{r} AS (SELECT a.n, v.i, floor_of(sum(v.x), count(*)) AS x FROM a{r} a JOIN v ON a.u = v.u GROUP BY a.n, v.i),\n"
+        f"c{r + 1} AS (SELECT c.n, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON c.n = m.n AND c.i = m.i),\n"
+        for r in range(rounds)
+    ).replace("floor_of(sum(v.x), count(*))", "((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT")
+    return f"""
+WITH e AS (
+  SELECT row_number() OVER () AS u, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+v AS (SELECT u, i, floor(256 * embedding[i]::DOUBLE)::BIGINT AS x FROM e, range(1, 65) r(i)),
+s AS (SELECT u, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS n FROM e ORDER BY n LIMIT {k}),
+c0 AS (SELECT s.n, v.i, v.x FROM s JOIN v ON s.u = v.u),
+{steps}last AS ({_OP11_NEAREST.format(c=f'c{rounds}')}),
+h AS (SELECT n, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY n)
+SELECT e.vec_id, l.n::INTEGER AS cluster, l.d AS distance, (sum(l.d) OVER (PARTITION BY l.n))::BIGINT AS cluster_inertia,
+  (sum(l.d) OVER ())::BIGINT AS inertia, h.h AS centroid_sha256
+FROM last l JOIN e ON l.u = e.u JOIN h ON l.n = h.n
+"""
+
+
+OP11 = op11()
