@@ -20,6 +20,7 @@ from tidewatch.llm import (
     quality_rules,
     sharding,
     sql,
+    suffixes,
     warc,
 )
 from tidewatch.llm.common import table
@@ -107,6 +108,12 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that repeat earlier ones."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from raw documents to packed sequences."""
