@@ -24,6 +24,7 @@ COLUMNS = {
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op11_centroid_clusters": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op12_source_divergence": "lang source part item value rank",
     "op13_suffix_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
 }
 
@@ -41,5 +42,5 @@ def test_columns(spark, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{k}" for k in range(1, 12)), "op13", "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{k}" for k in range(1, 14)), "pipeline"}
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())

@@ -21,6 +21,7 @@ from tidewatch.llm import (
     sharding,
     sql,
     suffixes,
+    vocabulary,
     warc,
 )
 from tidewatch.llm.common import table
@@ -32,6 +33,8 @@ ORACLES: dict[str, str] = {
     "op9_quality_rules": sql.OP9,
     "op10_warc": sql.OP10,
     "op11_centroid_clusters": sql.OP11,
+    "op12_source_divergence": sql.OP12,
+    "op13_suffix_repeats": sql.OP13,
 }
 
 
@@ -108,6 +111,12 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the words they use most."""
+    return vocabulary.audit(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes that repeat earlier ones."""

@@ -176,3 +176,65 @@ FROM last l JOIN e ON l.u = e.u JOIN h ON l.n = h.n
 
 
 OP11 = op11()
+
+_TERMS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def share(count: str, total: str, terms: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({count} + 5)) // ({total} + 5::HUGEINT * {terms})"
+
+
+OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS u, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER.replace('text', "coalesce(text, '')")}, {_TERMS}) AS terms
+  FROM documents),
+t AS (SELECT u, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT u) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+nl AS (SELECT lang, sum(total) AS total FROM n GROUP BY lang),
+cl AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT n.lang, n.source, k.term, coalesce(c.n, 0) AS n, {share('coalesce(c.n, 0)', 'n.total', 'v.v')} AS p
+  FROM n JOIN k ON n.lang = k.lang JOIN v ON n.lang = v.lang
+    LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.term = k.term),
+q AS (SELECT k.lang, k.term, {share('cl.n', 'nl.total', 'v.v')} AS q FROM k JOIN v USING (lang) JOIN nl USING (lang) JOIN cl USING (lang, term)),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p.p - q.q)::BIGINT AS value
+  FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+  FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS u, doc_id, coalesce(doc_id, 9223372036854775807) AS k, hex(encode(coalesce(text, ''))) AS hx
+  FROM documents),
+w AS (SELECT u, k, unnest(range(len(hx) // 2 - 49)) AS p, hx FROM d),
+x AS (SELECT u, k, p, substr(hx, 2 * p + 1, 100) AS s FROM w),
+f AS (SELECT s, min(k) AS least FROM x GROUP BY s),
+hit AS (SELECT x.u, x.p, coalesce(x.p > lag(x.p) OVER (PARTITION BY x.u ORDER BY x.p) + 50, true) AS new FROM x JOIN f USING (s) WHERE f.least < x.k),
+run AS (SELECT u, p, sum(new::INT) OVER (PARTITION BY u ORDER BY p) AS nr FROM hit),
+cut AS (SELECT u, nr, min(p) AS a, max(p) + 50 AS b FROM run GROUP BY u, nr),
+piece AS (SELECT u, a, b, coalesce(lag(b) OVER (PARTITION BY u ORDER BY a), 0) AS upto FROM cut),
+kept AS (
+  SELECT u, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(hx, 2 * upto + 1, 2 * (a - upto)), '' ORDER BY a) AS head
+  FROM piece JOIN d USING (u) GROUP BY u)
+SELECT d.doc_id, (len(hx) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head || substr(hx, 2 * last + 1), hx))) AS kept_sha256
+FROM d LEFT JOIN kept USING (u)
+"""
