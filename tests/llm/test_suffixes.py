@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tidewatch.llm import suffixes
 from tidewatch.llm.suffixes import remove_repeats
@@ -43,7 +44,7 @@ def check(df, width=50, seed=16):
 
 @pytest.fixture
 def short_runs(monkeypatch):
-    monkeypatch.setattr(suffixes, "RUN_BYTES", 3_000)
+    monkeypatch.setattr(suffixes, "HELD_BYTES", 3_000)
     monkeypatch.setattr(suffixes, "BLOCK_BYTES", 700)
 
 
@@ -88,15 +89,13 @@ def test_real(spark):
 def test_merge_keeps_known_prefixes():
     """Suffixes of several runs come out sorted, each with the length it shares with the one before."""
     r = random.Random(2)
-    held, all_texts = [], []
-    for _ in range(5):
-        texts = suffixes.Texts()
-        for _ in range(6):
-            t = "".join(r.choice("ab") for _ in range(80)).encode()
-            texts.add(len(all_texts), t)
-            all_texts.append(t)
-        held.append(texts)
-    runs = [suffixes.Run(n, m, body) for h in held for _, n, m, body in suffixes.runs_of(h, 1, 16, 5)]
+    runs = []
+    for k in range(5):
+        texts = ["".join(r.choice("ab") for _ in range(80)).encode() for _ in range(6)]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(6 * k, 6 * k + 6)), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+        rows = [(x["m"], x["body"]) for part in suffixes.text_writer(1)(iter([batch])) for x in part.to_pylist()]
+        home = suffixes.Home(rows, 16, 5, 1)
+        runs += [suffixes.Run(n, m, body) for _, n, m, body in suffixes.runs_of(home, 1, 16)]
     out = [(runs[w].now, lcp) for w, lcp in suffixes.merged(runs)]
     assert [x for x, _ in out] == sorted(x for x, _ in out) and len(out) > 100
     for (x, _), (y, lcp) in zip(out, out[1:], strict=False):

@@ -12,12 +12,14 @@ contains the ``seed``-byte string whose hash is the smallest in it, the leftmost
 one of equals. Equal windows choose the same one, at the same place within
 them. So only suffixes that start at a chosen place are sorted, about
 one in (width - seed + 2) / 2, and each brings the bytes before it that its
-windows need. Suffixes with the same first ``seed`` bytes meet in one part, and
-every window is judged there, byte by byte.
+windows need. Before that, the hashes of all chosen seeds are compared, sorted and
+as differences, about four bytes each: a suffix whose seed occurs in no other document stays at home. Suffixes with the same first
+``seed`` bytes meet in one part, and every window is judged there, byte by byte.
 
-Suffixes that are equal within a task, bytes before them included, are settled
+Texts are dealt out once, compressed, to homes of some megabytes; a home makes one run.
+Suffixes that are equal within a home, bytes before them included, are settled
 there: the smallest document's goes out for all. A passage that a third of all
-documents share sends one suffix per task.
+documents share sends one suffix per home.
 """
 
 from __future__ import annotations
@@ -34,18 +36,22 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import small_batches, whole
 from tidewatch.llm.tokens import mixed
 
-WIDTH, SEED = 50, 16
-#: Bytes of text in one sorted run.
-RUN_BYTES = 16 << 20
+WIDTH, SEED = 50, 20
+#: Bits of a seed's hash that are compared before suffixes travel; more of them spare only suffixes.
+HASH_BITS = 48
+#: Bytes of text a task holds before it deals them out.
+HELD_BYTES = 16 << 20
 #: Bytes hashed at once.
 BLOCK_BYTES = 1 << 20
-#: Text per part, about.
+#: Text per home and per part, about.
 PART_BYTES = 16 << 20
 
 RUN_SCHEMA = "part int, n int, m int, body binary"
-#: Kinds of the arrays in a run and in a list of spans, in their order in the body.
+#: Kinds of the arrays in a body, in their order there.
 RUN_KINDS = {"lcp": "u1", "right": "u1", "left": "u1", "doc": "<i8", "none": "u1", "tag": "<u8", "pos": "<u4"}
 SPAN_KINDS = {"doc": "<i8", "none": "u1", "tag": "<u8", "start": "<u4", "end": "<u4"}
+TEXT_KINDS = {"doc": "<i8", "none": "u1", "tag": "<u8", "len": "<u4"}
+ASK_KINDS = {"step": "<u8", "several": "u1"}
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -216,7 +222,7 @@ def ref_part(doc: np.ndarray, tag: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Texts:
-    """Documents held until they make a run: their bytes with one byte between them, ids and tags."""
+    """Documents held until they are dealt out: their bytes with one byte between them, ids and tags."""
 
     def __init__(self):
         self.texts, self.ids, self.size = [], [], 0
@@ -236,18 +242,95 @@ class Texts:
         return data, starts, lens, doc, none, tag
 
 
-def runs_of(held: Texts, parts: int, width: int, seed: int) -> Iterator[tuple]:
-    """Rows of :data:`RUN_SCHEMA`: for each part its front-coded run, and spans that were settled here."""
-    data, starts, lens, doc, none, tag = held.arrays()
-    place, lo, hi, h = chosen_of_run(data, starts, lens, width, seed)
+class Home:
+    """Texts of one home as :func:`text_writer` has written them, and the seeds their windows choose."""
+
+    def __init__(self, rows: list[tuple[int, bytes]], width: int, seed: int, parts: int):
+        found, texts = [], []
+        for m, body in rows:
+            data = unsqueezed(body)
+            columns, at = unplanes(data, 0, m, TEXT_KINDS)
+            found.append(columns)
+            texts.append(data[at:])
+        self.doc, self.none, self.tag, self.lens = (
+            np.concatenate([np.empty(0, kind), *[f[k] for f in found]]) for k, kind in TEXT_KINDS.items()
+        )
+        self.lens = self.lens.astype(np.int64)
+        self.starts = np.cumsum(self.lens + 1) - self.lens - 1
+        self.data = np.frombuffer(b"".join(texts) + bytes(72), np.uint8)
+        self.place, self.lo, self.hi, h = chosen_of_run(self.data, self.starts, self.lens, width, seed)
+        self.owner = np.searchsorted(self.starts, self.place, "right") - 1
+        self.key = h >> np.uint64(64 - HASH_BITS)
+        self.part = (mixed(self.key) % np.uint64(parts)).astype(np.int64)
+
+    def seeds(self):
+        """(order of the seeds by part, key and document, where each distinct one begins in it)."""
+        order = np.lexsort((self.owner, self.key, self.part))
+        key = self.key[order]
+        return order, np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1]))
+
+    def keep(self, wanted: np.ndarray) -> None:
+        self.place, self.lo, self.hi, self.owner, self.part = (
+            x[wanted] for x in (self.place, self.lo, self.hi, self.owner, self.part)
+        )
+
+
+def asker(parts: int, width: int, seed: int):
+    """Per home and part: its distinct seeds as differences of sorted hashes, and which of them are in two of its documents."""
+
+    def run(key, t):
+        home = Home(list(zip(t["m"].to_pylist(), t["body"].to_pylist(), strict=True)), width, seed, parts)
+        order, first = home.seeds()
+        last = np.append(first[1:], len(order)) - 1 if len(first) else first
+        several = home.owner[order[first]] != home.owner[order[last]]
+        keys, part = home.key[order[first]], home.part[order[first]]
+        cuts = np.searchsorted(part, np.arange(parts + 1))
+        full = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+        bodies = [
+            squeezed(planes({"step": np.diff(keys[cuts[p] : cuts[p + 1]], prepend=np.uint64(0)), "several": several[cuts[p] : cuts[p + 1]]}, ASK_KINDS))
+            for p in full
+        ]
+        return pa.table({
+            "part": pa.array(full, pa.int32()),
+            "home": pa.array([key[0].as_py()] * len(full), pa.int32()),
+            "n": pa.array([int(cuts[p + 1] - cuts[p]) for p in full], pa.int32()),
+            "body": pa.array(bodies, pa.binary()),
+        })
+
+    return run
+
+
+def answer(key, t):
+    """Per home: a bit for each seed it asked for, set if another document has it."""
+    homes, n = t["home"].to_pylist(), t["n"].to_pylist()
+    asked = [unplanes(unsqueezed(b), 0, m, ASK_KINDS)[0] for m, b in zip(n, t["body"].to_pylist(), strict=True)]
+    keys = np.concatenate([np.cumsum(a["step"]) for a in asked])
+    order = np.argsort(keys, kind="stable")
+    same = np.append(keys[order[1:]] == keys[order[:-1]], False)
+    repeated = np.concatenate([a["several"] for a in asked]).astype(bool)
+    repeated[order[:-1][same[:-1]]] = True
+    repeated[order[1:][same[:-1]]] = True
+    # one of several homes with the key may know of two documents by itself
+    number = np.cumsum(np.append(True, ~same[:-1])) - 1
+    of_key = np.zeros(number[-1] + 1, bool)
+    of_key[number[repeated[order]]] = True
+    repeated[order] = of_key[number]
+    cuts = np.cumsum([0, *n])
+    bits = [np.packbits(repeated[a:b]).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+    part = [key[0].as_py()] * len(homes)
+    return pa.table({"home": pa.array(homes, pa.int32()), "part": pa.array(part, pa.int32()), "n": pa.array(n, pa.int32()), "bits": pa.array(bits, pa.binary())})
+
+
+def runs_of(home: Home, parts: int, width: int) -> Iterator[tuple]:
+    """(part, n, m, body): for each part the home's front-coded run, and spans that were settled here."""
+    data, starts, doc, none, tag = home.data, home.starts, home.doc, home.none, home.tag
+    place, lo, owner, part = home.place, home.lo, home.owner, home.part
     if not len(place):
         return
-    part = (mixed(h) % np.uint64(parts)).astype(np.int64)
-    owner = np.searchsorted(starts, place, "right") - 1
     # rank of a document: ids ascending, those without one behind, all alike
     ids, rank = np.unique(doc, return_inverse=True)
-    rank = np.where(none, len(ids), rank)[owner]
-    right, left = width - lo, hi
+    rank = np.where(none == 1, len(ids), rank)[owner]
+    right, left = width - lo, home.hi
     order, lcp, alike, same = sorted_suffixes(part, place, right, left, (rank, tag[owner], place - starts[owner]), words_of(data))
     settled = rank[order] > rank[order[alike]]
     again = ~settled & (same != np.arange(len(same)))  # the same place of an equal row
@@ -273,36 +356,22 @@ def runs_of(held: Texts, parts: int, width: int, seed: int) -> Iterator[tuple]:
         body += planes({k: v[by[c:d]] for k, v in spans.items()}, SPAN_KINDS)
         body += ragged(data, place[rows] - left[rows], left[rows])
         body += ragged(data, place[rows] + shared, right[rows] - shared)
-        yield p, b - a, d - c, squeezed(body)
+        yield p, int(b - a), int(d - c), squeezed(body)
 
 
 def run_writer(parts: int, width: int, seed: int):
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        part, n, m, body = zip(*rows, strict=True)
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((part, n, m, body), kinds, strict=True)], names=["part", "n", "m", "body"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Texts()
-
-        def flush():
-            rows, size = [], 0
-            for r in runs_of(held, parts, width, seed):
-                rows.append(r)
-                size += len(r[-1])
-                if size > 4 << 20:
-                    yield batch_of(rows)
-                    rows, size = [], 0
-            if rows:
-                yield batch_of(rows)
-
-        for batch in batches:
-            for i, t in zip(batch["doc_id"], batch["text"], strict=True):
-                held.add(i.as_py(), t.as_py())
-                if held.size >= RUN_BYTES:
-                    yield from flush()
-                    held = Texts()
-        yield from flush()
+    def run(key, texts, answers):
+        home = Home(list(zip(texts["m"].to_pylist(), texts["body"].to_pylist(), strict=True)), width, seed, parts)
+        order, first = home.seeds()
+        told = sorted(zip(answers["part"].to_pylist(), answers["n"].to_pylist(), answers["bits"].to_pylist(), strict=True))
+        repeated = [np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool) for _, n, bits in told]
+        wanted = np.zeros(len(order), bool)
+        if len(first):
+            wanted[order] = np.repeat(np.concatenate(repeated), np.diff(np.append(first, len(order))))
+        home.keep(wanted)
+        rows = list(runs_of(home, parts, width))
+        kinds = {"part": pa.int32(), "n": pa.int32(), "m": pa.int32(), "body": pa.binary()}
+        return pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds.items())})
 
     return run
 
@@ -460,6 +529,7 @@ def merger(parts: int, width: int, seed: int):
             group.append((lcp, r.now, r, r.index))
         if len(group) > 1:
             judge(group, width, removed)
+        del group
         doc, tag, start, end = zip(*removed, strict=True) if removed else ((),) * 4
         mine = {"doc": [0 if d is None else d for d in doc], "none": [d is None for d in doc], "tag": tag, "start": start, "end": end}
         spans = {k: np.concatenate([np.array(mine[k], kind), *[r.spans[k] for r in runs]]) for k, kind in SPAN_KINDS.items()}
@@ -481,7 +551,7 @@ def merger(parts: int, width: int, seed: int):
 
 
 def text_writer(parts: int):
-    """Texts by part, compressed, for the step that cuts them."""
+    """Texts by home, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Texts()
@@ -496,8 +566,8 @@ def text_writer(parts: int):
             for p in range(parts):
                 rows = by[cuts[p] : cuts[p + 1]]
                 if len(rows):
-                    body = planes({"doc": doc[rows], "none": none[rows], "tag": tag[rows], "start": lens[rows], "end": lens[rows]}, SPAN_KINDS)
-                    body = squeezed(body + ragged(data, starts[rows], lens[rows]))
+                    body = planes({"doc": doc[rows], "none": none[rows], "tag": tag[rows], "len": lens[rows]}, TEXT_KINDS)
+                    body = squeezed(body + ragged(data, starts[rows], lens[rows] + 1))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([p], pa.int32()), pa.array([len(rows)], pa.int32()), pa.array([body], pa.binary())], names=["home", "m", "body"]
                     )
@@ -505,7 +575,7 @@ def text_writer(parts: int):
         for batch in batches:
             for i, t in zip(batch["doc_id"], batch["text"], strict=True):
                 held.add(i.as_py(), t.as_py())
-                if held.size >= RUN_BYTES:
+                if held.size >= HELD_BYTES:
                     yield from flush()
                     held = Texts()
         yield from flush()
@@ -530,9 +600,9 @@ def cutter(keep_text: bool):
         out = {c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if keep_text else []))}
         for m, body in zip(texts["m"].to_pylist(), texts["body"].to_pylist(), strict=True):
             data = unsqueezed(body)
-            c, at = unplanes(data, 0, m, SPAN_KINDS)
-            for d, t, none, n in zip(c["doc"].tolist(), c["tag"].tolist(), c["none"].tolist(), c["start"].tolist(), strict=True):
-                text, at = data[at : at + n], at + n
+            c, at = unplanes(data, 0, m, TEXT_KINDS)
+            for d, t, none, n in zip(c["doc"].tolist(), c["tag"].tolist(), c["none"].tolist(), c["len"].tolist(), strict=True):
+                text, at = data[at : at + n], at + n + 1
                 a, b = of.get((d, t, none), (0, 0))
                 cut, upto = union(start[a:b], end[a:b])
                 rest = b"".join(text[i:j] for i, j in zip([0, *upto.tolist()], [*cut.tolist(), n], strict=True))
@@ -562,9 +632,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, keep_t
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").cast("binary").alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    runs = d.mapInArrow(run_writer(parts, width, seed), RUN_SCHEMA)
-    spans = runs.groupBy("part").applyInArrow(merger(parts, width, seed), "home int, m int, body binary")
-    texts = d.mapInArrow(text_writer(parts), "home int, m int, body binary")
-    return texts.groupBy("home").cogroup(spans.groupBy("home")).applyInArrow(
+    texts = d.mapInArrow(text_writer(parts), "home int, m int, body binary").groupBy("home")
+    asked = texts.applyInArrow(asker(parts, width, seed), "part int, home int, n int, body binary").groupBy("part")
+    told = asked.applyInArrow(answer, "home int, part int, n int, bits binary").groupBy("home")
+    runs = texts.cogroup(told).applyInArrow(run_writer(parts, width, seed), RUN_SCHEMA).groupBy("part")
+    spans = runs.applyInArrow(merger(parts, width, seed), "home int, m int, body binary").groupBy("home")
+    return texts.cogroup(spans).applyInArrow(
         cutter(keep_text), CUT_SCHEMA + (", kept_text binary" if keep_text else "")
     )
