@@ -413,3 +413,186 @@ def test_change_envelopes(spark):
     texts = [json.dumps({"after": row, "op": "c"}), json.dumps({"before": row, "after": None, "op": "d"}), None, "{x"]
     got = cdc.unwrap_cdc(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
     assert [(r["unid"], r["__deleted"]) for r in got] == [("e", "false"), ("e", "true")]
+
+
+# --- the stored log ---------------------------------------------------------------
+
+
+def by_key(t, b):
+    return merge.merge_incremental(t, b, ["k", "j"])
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_log_equals_replay_through_folds_compactions_and_splits(spark, tmp_path, monkeypatch, seed):
+    from tidewatch.sources import keyed
+
+    monkeypatch.setattr(keyed, "FAN", 3)
+    monkeypatch.setattr(keyed, "COMPACT_SHARE", 0.9)
+    schema = "k string, j int, v int, at timestamp"
+    rng, want, loose, counter = random.Random(seed), {}, [], 0
+    table = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["k", "j"], 2, ("at",), bucket_bytes=1_500)
+    levels, newest = set(), None
+    for n in range(11):
+        batch = {}
+        for _ in range(rng.choice([3, 12, 400 if n in (0, 6) else 5])):
+            counter += 1
+            at = dt.datetime(2026, 1, 1) + dt.timedelta(seconds=rng.randint(0, 9_999), microseconds=5 * rng.randint(0, 1))
+            batch[f"k{rng.randint(0, 300)}", rng.choice([1, 2, 2, None])] = (counter, at)
+        rows_ = [(k, j, v, at) for (k, j), (v, at) in batch.items()]
+        drop = n % 4 == 3
+        fresh = lambda t, b: t.join(b, ["k", "j"], "left_anti")
+        table.merge(spark.createDataFrame(rows_, schema), fresh if drop else by_key, "s", n)
+        for (k, j), (v, at) in batch.items():
+            if drop:
+                want.pop((k, j), None)
+            elif j is None:
+                loose.append((k, j, v, at))
+            else:
+                want[k, j] = (v, at)
+            if not drop:
+                newest = max(newest or at, at)
+        state = table._manifest()
+        levels |= {d["level"] for d in state["deltas"]}
+        got = sorted(map(str, map(tuple, KeyedTable.open(spark, table.root).read().collect())))
+        assert got == sorted(map(str, [(k, j, *x) for (k, j), x in want.items()] + loose)), n
+        assert dt.datetime.fromisoformat(table.mark("at")) == newest
+    assert levels >= {0, 1} and len(state["leaves"]) > 2
+    assert not table.merge(spark.createDataFrame(rows_, schema), by_key, "s", 10)
+    before = sorted(map(str, table.read().collect()))
+    table.compact()
+    assert table._manifest()["deltas"] == [] and sorted(map(str, table.read().collect())) == before
+    table.expire(keep=1)
+    assert sorted(map(str, table.read().collect())) == before
+
+
+def test_a_small_batch_rewrites_little(spark, tmp_path):
+    """A thousand keys on ten million rows write less than a twentieth of the table's bytes."""
+    rows_ = lambda a, b, v: spark.range(a, b).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit(1).alias("j"), (F.col("id") * v).alias("v"))
+    table = KeyedTable(spark, str(tmp_path / "t"), rows_(0, 1, 1).schema, ["k", "j"], 16)
+    table.merge(rows_(0, 10_000_000, 3), by_key)
+    whole = table._bytes(table.root)
+    used = sum(b["bytes"] for b in table._manifest()["base"].values())
+    for n in range(9):  # one of them folds
+        table.merge(rows_(n * 1_000_000, n * 1_000_000 + 1_000, n), by_key)
+    added = table._bytes(table.root) - whole
+    assert added < 9 * 0.05 * used / 10 and table._manifest()["deltas"][0]["level"] == 1
+    got = table.read().agg(F.count("*"), F.sum("v")).first()
+    changed = sum(sum(range(n * 1_000_000, n * 1_000_000 + 1_000)) * (n - 3) for n in range(9))
+    assert tuple(got) == (10_000_000, 3 * sum(range(10_000_000)) + changed)
+
+
+# --- lateness, buffers, ledgers, dead letters ---------------------------------------
+
+
+VERSION = ("unid string, source_id string, flynn_region string, auth string, evtype string, magtype string,"
+           " lat double, lon double, mag double, depth double, time string, lastupdate string, __deleted string")
+
+
+def version_row(unid, n, updated, deleted=None):
+    return (unid, str(n), "R", "A", "ke", "ml", 0.0, 0.0, 1.0, 1.0, "2026-05-01 00:00:00", updated, deleted)
+
+
+def test_what_the_watermark_drops(spark, tmp_path):
+    arrivals = [
+        [version_row("a", 1, "2026-05-03 10:00:00"), version_row("b", 1, "2026-05-01 00:00:00")],  # nothing is late in the first batch
+        [version_row("b", 2, "2026-05-02 11:00:00"), version_row("c", 3, "2026-05-02 09:00:00"),  # 23 and 25 hours behind
+         version_row("a", 1, "2026-05-03 10:00:00")],  # delivered again
+        [version_row("a", 9, "2026-05-02 12:00:00"), version_row("d", 4, "2026-05-05 00:00:00", "true")],  # older version; deleted
+    ]
+    schema = silver.silver_seismic_events(spark.createDataFrame(arrivals[0], VERSION), "2026-05-06 00:00:00").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ["EVENT_ID"], 2)
+    for part in arrivals:
+        spark.createDataFrame(part, VERSION).coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
+        stream = spark.readStream.schema(VERSION).parquet(str(tmp_path / "src"))
+        events.follow_revisions_watermarked(stream, table, str(tmp_path / "cp"), "2026-05-06 00:00:00").awaitTermination()
+    assert rows(table.read().select("EVENT_ID", "SOURCE_ID")) == [("a", "1"), ("b", "2")]
+
+
+def live_rows(spark, *values):
+    data = [tuple({"unid": f"e{i}", "mag": float(m), "source_id": str(i), "time": f"2026-05-0{d}T00:00:00Z"}.get(f.name) for f in schemas.EVENT_CDC_ROW.fields)
+            for i, (m, d) in enumerate(values)]
+    return spark.createDataFrame(data, schemas.EVENT_CDC_ROW)
+
+
+def test_counts_survive_restarts_and_new_checkpoints(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    stream = lambda: cdc.live_events(cdc.admit(spark.readStream.schema(schemas.EVENT_CDC_ROW), files=1).parquet(src))
+    live_rows(spark, (1, 1), (5, 1), (5, 2)).coalesce(1).write.parquet(src)
+    events.live_counts(stream(), "days", out, str(tmp_path / "cp1")).awaitTermination()
+    live_rows(spark, (7, 2), (2, 3)).coalesce(1).write.mode("append").parquet(src)
+    events.live_counts(stream(), "days", out, str(tmp_path / "cp1")).awaitTermination()
+    want = [(dt.date(2026, 5, 1), 2), (dt.date(2026, 5, 2), 2), (dt.date(2026, 5, 3), 1)]
+    assert rows(events.newest_counts(spark, out)) == want
+    live_rows(spark, (7, 3)).coalesce(1).write.mode("append").parquet(src)
+    events.live_counts(stream(), "days", out, str(tmp_path / "cp2")).awaitTermination()
+    assert rows(events.newest_counts(spark, out)) == [*want[:2], (dt.date(2026, 5, 3), 2)]
+
+
+@pytest.mark.parametrize("limit", [{"files": 2}, {"size": "1"}, {}])
+def test_a_backlog_is_taken_in_batches(spark, tmp_path, limit):
+    src = str(tmp_path / "src")
+    for k in range(6):
+        live_rows(spark, (k, 1)).coalesce(1).write.mode("append").parquet(src)
+    stream = cdc.admit(spark.readStream.schema(schemas.EVENT_CDC_ROW), **limit).parquet(src)
+    q = cdc.write_cdc_append(cdc.live_events(stream), str(tmp_path / "out"), str(tmp_path / "cp"), cdc.buffer_trigger(None))
+    q.awaitTermination()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sizes == {"files": [2] * 3, "size": [1] * 6}.get(next(iter(limit), None), [6])
+    assert sorted(r["mag"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [float(k) for k in range(6)]
+    assert cdc.buffer_trigger(60) == {"processingTime": "60 seconds"}
+    with pytest.raises(ValueError):
+        cdc.admit(spark.readStream, 1, "1m")
+
+
+def test_dead_letters_once_after_a_replayed_batch(spark, tmp_path, monkeypatch):
+    good = json.dumps({"action": "create", "data": {"id": "e1", "properties": {"mag": 1.0}}})
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(1, good), (2, "{broken"), (3, None), (1, "same offset")], "seq long, value string").coalesce(1).write.parquet(src)
+    stream = lambda: spark.readStream.schema("seq long, value string").parquet(src)
+    where = [str(tmp_path / x) for x in ("good", "dead", "cp")]
+    # the first attempt dies between the two sinks
+    real = events.readers.parse_event_messages
+    monkeypatch.setattr(events.readers, "parse_event_messages", lambda *a, **k: real(*a, **k).withColumn("mag", F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        events.follow_with_dead_letters(stream(), *where).awaitTermination()
+    monkeypatch.setattr(events.readers, "parse_event_messages", real)
+    events.follow_with_dead_letters(stream(), *where).awaitTermination()
+    events.follow_with_dead_letters(stream(), *where).awaitTermination()
+    assert rows(events.read_batches(spark, where[0]).select("unid", "seq")) == [("e1", 1)]
+    assert sorted(map(str, map(tuple, events.read_batches(spark, where[1]).collect()))) == sorted(
+        map(str, [(2, "{broken"), (3, None), (1, "same offset")]))
+
+
+def test_a_months_file_counts_once(spark, tmp_path):
+    line = ",".join("1.5" if c in fixed.PORT_DOUBLE_COLUMNS else "x" for c in fixed.PORT_COLUMNS)
+    text = "\n".join([",".join(fixed.PORT_COLUMNS), line, line]) + "\n"
+
+    def offer(name):
+        file = tmp_path / "in" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(text)
+
+    def load(loaded):
+        stream = readers.stream_ports(spark, str(tmp_path / "in"), by_name=True)
+        writers.append_new_files(stream, str(tmp_path / "out"), str(tmp_path / "ledger"), loaded).awaitTermination()
+        got = spark.read.parquet(str(tmp_path / "out")).groupBy("_LOADED_AT").count()
+        return sorted((r[0].month, r[1]) for r in got.collect())
+
+    offer("a/ports_2026-01.csv")
+    assert load("2026-01-31 00:00:00") == [(1, 2)]
+    offer("a/ports_2026-01.csv")  # written again in its place
+    offer("b/ports_2026-01.csv")  # and offered in another folder
+    assert load("2026-02-28 00:00:00") == [(1, 2)]
+    offer("b/ports_2026-03.csv")
+    assert load("2026-03-31 00:00:00") == [(1, 2), (3, 2)]
+
+
+def test_rows_in_quarantine(spark, tmp_path):
+    good, bad = vessel_frame(spark, 60), vessel_frame(spark, 3, name=None)
+    verdict = writers.split_quarantine(good.unionByName(bad), str(tmp_path / "q"), C("name").isNotNull())
+    assert verdict.ok and verdict.metrics["bad"] == 3 and "3 of 63 rows quarantined" in verdict.warnings
+    assert writers.read_verdict(spark, str(tmp_path / "q"), "good").count() == 60
+    assert writers.read_verdict(spark, str(tmp_path / "q"), "bad").filter("name IS NULL").count() == 3
+    none = writers.split_quarantine(bad.drop("type"), str(tmp_path / "r"), C("name").isNotNull())
+    assert (none.ok, none.message) == (False, "every name is NULL")
+    assert writers.split_quarantine(good.drop("type"), str(tmp_path / "s"), F.lit(None).cast("boolean")).message.startswith("missing columns")

@@ -117,6 +117,27 @@ def a4(spark, sf_dir):
         "WORLD_PORT_INDEX_NUMBER", "OID_", "_LOADED_AT")
 
 
+@query(
+    "a4_load_once",
+    "SELECT World_Port_Index_Number, '2024-01-31 00:00:00' AS \"_LOADED_AT\" FROM x_ports UNION ALL"
+    " SELECT World_Port_Index_Number, '2024-03-31 00:00:00' FROM x_ports WHERE Harbor_Size = 'Small'",
+)
+def a4_once(spark, sf_dir):
+    """A4: a month's file offered in two runs counts once; the next month's comes with the third."""
+    ports, root = Domain(spark, sf_dir).ports(), scratch(spark, "monthly")
+
+    def run(loaded):
+        files = readers.stream_ports(spark, f"{root}/in")
+        writers.append_new_files(files, f"{root}/out", f"{root}/ledger", loaded).awaitTermination()
+
+    _csv(ports, f"{root}/in/2024-01", emptyValue="", escape='"')
+    run("2024-01-31 00:00:00")
+    run("2024-02-29 00:00:00")
+    _csv(ports.filter("Harbor_Size = 'Small'"), f"{root}/in/2024-03", emptyValue="", escape='"')
+    run("2024-03-31 00:00:00")
+    return spark.read.parquet(f"{root}/out").select("World_Port_Index_Number", "_LOADED_AT")
+
+
 @query("a5_write_snapshot", "SELECT detail_link, report_date, CAST(NULL AS VARCHAR) AS type FROM x_vessels")
 def a5(spark, sf_dir):
     """A5: a snapshot with an absent column; the second write finds it there and does nothing."""
@@ -143,6 +164,20 @@ def a6(spark, sf_dir):
     return count("good").unionByName(count("quarantine"))
 
 
+@query(
+    "a6_row_quarantine",
+    "SELECT detail_link, report_date, CASE WHEN name IS NOT NULL AND destination_port_name IS NOT NULL THEN 'good' ELSE 'bad' END"
+    " AS verdict FROM x_vessels",
+)
+def a6_rows(spark, sf_dir):
+    """Every report on one side, by whether it names vessel and destination; both sides read back."""
+    path = scratch(spark, "sides")
+    rule = C("name").isNotNull() & C("destination_port_name").isNotNull()
+    writers.split_quarantine(Domain(spark, sf_dir).vessels(), path, rule)
+    sides = [writers.read_verdict(spark, path, v).withColumn("verdict", F.lit(v)) for v in ("good", "bad")]
+    return sides[0].unionByName(sides[1]).select("detail_link", "report_date", "verdict")
+
+
 @query(
     "a7_write_recommendations",
     "SELECT o_orderkey AS VESSEL, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS RUN_DATE,"

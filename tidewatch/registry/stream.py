@@ -100,6 +100,27 @@ def r4(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("r4_dead_letters", "SELECT seq, '{\"action\"' AS value FROM x_live")
+def r4_dead(spark, sf_dir):
+    """The broken messages of the same stream, with offset and text."""
+    good = A.event_messages(spark, sf_dir)
+    both = good.unionByName(good.withColumn("value", F.substring("value", 1, 9)))
+    root = scratch(spark, "letters")
+    feed(spark, both, "letters", lambda rows: events.follow_with_dead_letters(
+        rows, f"{root}/good", f"{root}/dead", f"{root}/cp"))
+    return events.read_batches(spark, f"{root}/dead").select("seq", "value")
+
+
+@query("a16_buffered_append", _LIVE)
+def a16_buffered(spark, sf_dir):
+    """A backlog of files taken in batches of one file."""
+    rows, root = A.live(spark, sf_dir), scratch(spark, "buffered")
+    rows.repartition(5, "seq").write.parquet(f"{root}/in")
+    stream = cdc.admit(spark.readStream.schema(rows.schema), files=1).parquet(f"{root}/in")
+    cdc.write_cdc_append(cdc.live_events(stream), f"{root}/out", f"{root}/cp", cdc.buffer_trigger(None)).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 _SILVER = replaced("y_events", stamps="EARTHQUAKE_TIME LAST_UPDATED_AT LOADED_AT")
 
 
@@ -124,6 +145,17 @@ def r5_stream(spark, sf_dir):
     return table.read()
 
 
+@query("r5_watermarked_revisions", _SILVER)
+def r5_watermarked(spark, sf_dir):
+    """The same, with the stream's own watermark deciding what is too late."""
+    changes = A.seismic(spark, sf_dir)
+    schema = silver.silver_seismic_events(changes, A.AS_OF).schema
+    table = KeyedTable(spark, scratch(spark, "watermarked"), schema, ["EVENT_ID"], buckets=8)
+    cp = scratch(spark, "cp")
+    feed(spark, changes, "changes", lambda rows: events.follow_revisions_watermarked(rows, table, cp, A.AS_OF))
+    return table.read()
+
+
 @query("r6_backfill_then_stream", _NET)
 def r6(spark, sf_dir):
     """Every start brings the created rows of its own time as history, then the messages; the overlap adds nothing."""

@@ -18,8 +18,20 @@ def read_ports(spark: SparkSession, path: str) -> DataFrame:
     depend on the columns a query selects. For the same reason the filter
     touches a data column: Spark parses nothing for a bare row count.
     """
+    return _ports(spark.read, path)
+
+
+def stream_ports(spark: SparkSession, folder: str, by_name: bool = False) -> DataFrame:
+    """The directory files of a folder as a stream, parsed as by :func:`read_ports`; see ``writers.append_new_files``.
+
+    A file is known by its path, with ``by_name`` by its name alone, wherever below the folder it lies.
+    """
+    return _ports(spark.readStream.option("fileNameOnly", by_name).option("recursiveFileLookup", True), folder)
+
+
+def _ports(reader, path: str) -> DataFrame:
     raw = (
-        spark.read.schema(T.StructType([*schemas.PORTS.fields, T.StructField("_bad", T.StringType())]))
+        reader.schema(T.StructType([*schemas.PORTS.fields, T.StructField("_bad", T.StringType())]))
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", '"')
@@ -82,14 +94,22 @@ def read_geojson_events(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.explode("features").alias("f")).select(_flat("f.properties", C("f.id"), F.lit("create")))
 
 
+def _has_event(parsed: str) -> Column:
+    return C(f"{parsed}.data").isNotNull() & (C(f"{parsed}.data.id").isNotNull() | C(f"{parsed}.data.properties").isNotNull())
+
+
+def is_event_message(messages: DataFrame, name: str = "_ok", text: str = "value") -> DataFrame:
+    """The messages with a column that says whether :func:`parse_event_messages` gives a row for them; never NULL."""
+    parsed = messages.withColumn("_m", F.from_json(C(text), schemas.EVENT_MESSAGE))
+    return parsed.withColumn(name, F.coalesce(_has_event("_m"), F.lit(False))).drop("_m")
+
+
 def parse_event_messages(messages: DataFrame, text: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
     """Flat event rows from feed messages, batch or stream.
 
     Messages without data (or not JSON at all) are dropped; a missing action
     means ``create``. ``carry`` names columns to keep, such as an offset.
     """
-    parsed = messages.withColumn("_m", F.from_json(C(text), schemas.EVENT_MESSAGE)).filter(
-        C("_m.data").isNotNull() & (C("_m.data.id").isNotNull() | C("_m.data.properties").isNotNull())
-    )
+    parsed = messages.withColumn("_m", F.from_json(C(text), schemas.EVENT_MESSAGE)).filter(_has_event("_m"))
     action = F.lower(F.coalesce("_m.action", F.lit("create")))
     return parsed.select(*_flat("_m.data.properties", C("_m.data.id"), action), *carry)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
 from tidewatch.operators.filters import conform
-from tidewatch.operators.quality import Verdict, validate_snapshot
+from tidewatch.operators.quality import Verdict, judge_snapshot, snapshot_counts, validate_snapshot
 from tidewatch.session import scratch
 
 C = F.col
@@ -39,6 +39,17 @@ def append_load(df: DataFrame, path: str, loaded_at: str) -> None:
     df.withColumn("_LOADED_AT", F.lit(loaded_at).cast("timestamp")).write.mode("append").parquet(path)
 
 
+def append_new_files(files: DataFrame, path: str, checkpoint: str, loaded_at: str):
+    """Append, with this load's stamp, the rows of all files that no earlier load took, and end.
+
+    ``files`` is a file-source stream, and its checkpoint is the ledger of files taken: one that is offered again, or
+    again after a failure, counts once. A file that is replaced under its old name counts as taken.
+    """
+    stamped = files.withColumn("_LOADED_AT", F.lit(loaded_at).cast("timestamp"))
+    sink = stamped.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return sink.trigger(availableNow=True).start(path)
+
+
 def write_snapshot(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """Write the conformed snapshot unless the target exists already."""
     conform(df, columns or fixed.VESSEL_COLUMNS).write.mode("ignore").option("header", True).csv(path)
@@ -51,6 +62,31 @@ def route_quarantine(df: DataFrame, good: str, quarantine: str) -> Verdict:
     return verdict
 
 
+def split_quarantine(df: DataFrame, path: str, rule: Column, required: list[str] | None = None) -> Verdict:
+    """Write good and bad rows below ``path`` in one pass, and judge the load by what was counted on the way.
+
+    Rows for which ``rule`` is not true are bad. Folders ``verdict=good`` and ``verdict=bad`` hold the conformed rows. The
+    counters of :func:`snapshot_counts` are observed while the rows are written, so nothing is read twice.
+    """
+    watch = Observation("quarantine")
+    good = F.coalesce(rule, F.lit(False))
+    watched = df.observe(watch, *snapshot_counts(df), F.count_if(~good).alias("bad"))
+    rows = watched.withColumn("verdict", F.when(good, "good").otherwise("bad"))
+    conform(rows, [*(required or fixed.VESSEL_COLUMNS), "verdict"]).write.mode("overwrite").partitionBy("verdict").parquet(path)
+    counted = dict(watch.get)
+    bad = counted.pop("bad")
+    verdict = judge_snapshot(counted, df.columns, required)
+    if bad:
+        verdict.warnings.append(f"{bad} of {counted['rows']} rows quarantined")
+    verdict.metrics = counted | {"bad": bad}
+    return verdict
+
+
+def read_verdict(spark: SparkSession, path: str, verdict: str) -> DataFrame:
+    """One side of :func:`split_quarantine`."""
+    return spark.read.parquet(path).filter(C("verdict") == verdict).drop("verdict")
+
+
 def write_recommendations(df: DataFrame, path: str, history: bool = False) -> None:
     """Replace the table by this run; with history, only this run's day."""
     if history:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from tidewatch import fixed, schemas
 from tidewatch.operators.filters import drop_soft_deleted_live
@@ -43,6 +44,24 @@ def read_cdc_stream(
     )
 
 
+def admit(reader: DataStreamReader, files: int | None = None, size: str | None = None) -> DataStreamReader:
+    """A file-stream reader that hands on a backlog in batches of at most so many files, or of about ``size`` (``64m``).
+
+    What a batch leaves is taken by the next ones; nothing is skipped. A single file beyond the size is a batch of its own.
+    Kafka's reader counts records instead, see ``max_offsets`` of :func:`read_cdc_stream`.
+    """
+    if files is not None and size is not None:
+        raise ValueError("give a number of files or a size, not both")
+    if files is not None:
+        return reader.option("maxFilesPerTrigger", files)
+    return reader.option("maxBytesPerTrigger", size) if size is not None else reader
+
+
+def buffer_trigger(seconds: float | None) -> dict:
+    """How often a sink flushes: every so many seconds, or, with None, once for all that is there."""
+    return {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+
+
 def skip_broken(df: DataFrame, parsed: str) -> DataFrame:
     """Drop rows whose message did not parse."""
     return df.filter(C(parsed).isNotNull())
@@ -71,7 +90,10 @@ def live_events(changes: DataFrame) -> DataFrame:
 
 
 def write_cdc_append(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Start the append sink; by default it takes what is there and ends."""
+    """Start the append sink; by default it takes what is there and ends.
+
+    The sizes of its batches are set where the stream is read (:func:`admit`), their times by ``trigger`` (:func:`buffer_trigger`).
+    """
     return (
         stream.writeStream.format("parquet")
         .outputMode("append")

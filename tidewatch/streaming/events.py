@@ -18,6 +18,7 @@ from tidewatch.operators import aggregates, merge
 from tidewatch.operators.dedup import latest_events
 from tidewatch.operators.filters import drop_soft_deleted, strong_event_alerts
 from tidewatch.plans import silver
+from tidewatch.sources import readers
 from tidewatch.sources.keyed import KeyedTable
 
 C = F.col
@@ -71,8 +72,8 @@ def apply_messages(
 
 
 def backfill_start(table: KeyedTable, as_of: str):
-    """From when to fetch history: the newest event held, else an hour before ``as_of``."""
-    newest = aggregates.high_watermark(table.read(), "time")
+    """From when to fetch history: the newest event ever held, else an hour before ``as_of``; a look into the manifest."""
+    newest = table.mark("time")
     if newest is not None:
         return newest
     hour_ago = F.lit(as_of).cast("timestamp") - F.expr("INTERVAL 1 HOUR")
@@ -108,39 +109,90 @@ def follow_revisions(
 
     source = source_of(table, checkpoint)
 
-    def combine(target: DataFrame, rows: DataFrame) -> DataFrame:
-        return latest_events(target.unionByName(rows))
-
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = drop_soft_deleted(silver.seismic_rows(batch))
-        newest = aggregates.high_watermark(table.read(), "LAST_UPDATED_AT") if window_hours is not None else None
+        newest = table.mark("LAST_UPDATED_AT") if window_hours is not None else None
         if newest is not None:
-            rows = rows.filter(C("LAST_UPDATED_AT") >= F.lit(newest) - F.expr(f"INTERVAL {int(window_hours)} HOURS"))
-        rows = latest_events(rows).drop("__deleted").withColumn("LOADED_AT", F.lit(as_of).cast("timestamp"))
-        table.merge(rows, combine, source, batch_id)
+            oldest = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {int(window_hours)} HOURS")
+            rows = rows.filter(C("LAST_UPDATED_AT") >= oldest)
+        _merge_versions(table, rows, as_of, source, batch_id)
 
     return _run(stream, checkpoint, each, trigger)
 
 
+def _merge_versions(table: KeyedTable, rows: DataFrame, as_of: str, source: str, batch_id: int) -> None:
+    rows = latest_events(rows).drop("__deleted").withColumn("LOADED_AT", F.lit(as_of).cast("timestamp"))
+    table.merge(rows, lambda target, fresh: latest_events(target.unionByName(fresh)), source, batch_id)
+
+
+def follow_revisions_watermarked(
+    stream: DataFrame, table: KeyedTable, checkpoint: str, as_of: str, delay: str = "24 hours", trigger: dict | None = None,
+):
+    """As :func:`follow_revisions`, with the lateness kept by the stream itself.
+
+    The watermark is the newest update time of earlier batches less ``delay``. Versions behind it are
+    dropped before they reach the table; within it each version is merged once, however often it is delivered. The state
+    holds one small row per version of the last ``delay``, and forgets it then.
+    """
+    source = source_of(table, checkpoint)
+    versions = drop_soft_deleted(silver.seismic_rows(stream)).withWatermark("LAST_UPDATED_AT", delay)
+    versions = versions.dropDuplicatesWithinWatermark(["EVENT_ID", "SOURCE_ID", "LAST_UPDATED_AT"])
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        _merge_versions(table, batch, as_of, source, batch_id)
+
+    return _run(versions, checkpoint, each, trigger)
+
+
+COUNTS = {"histogram": (aggregates.intensity_histogram, "category"), "days": (aggregates.events_per_day, "day")}
+
+
 def live_counts(stream: DataFrame, what: str, path: str, checkpoint: str, trigger: dict | None = None):
-    """Running dashboard counts (``histogram`` or ``days``), whole result per trigger.
+    """Running dashboard counts (``histogram`` or ``days``) in a keyed table at ``path``.
 
-    State is one row per bucket or day. Every trigger writes its own folder
-    below ``path``; read the newest with :func:`newest_counts`.
+    A trigger hands on the groups that changed, and they replace what the table holds of them. A new
+    checkpoint counts from the start again and ends with the same table. Read it with :func:`newest_counts`.
     """
-    counted = {"histogram": aggregates.intensity_histogram, "days": aggregates.events_per_day}[what](stream)
+    count, key = COUNTS[what]
+    # a key that is never NULL, as NULL would match nothing in the table
+    counted = count(stream).withColumn("_key", F.coalesce(C(key).cast("string"), F.lit("")))
+    table = KeyedTable(stream.sparkSession, path, counted.schema, ["_key"], buckets=1)
+    source = source_of(table, checkpoint)
 
-    def each(result: DataFrame, batch_id: int) -> None:
-        # a handful of buckets, or one row per day
-        result.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def each(changed: DataFrame, batch_id: int) -> None:
+        table.merge(changed, lambda held, rows: rows, source, batch_id)
 
-    return _run(counted, checkpoint, each, trigger, mode="complete")
+    return _run(counted, checkpoint, each, trigger, mode="update")
 
 
 def newest_counts(spark: SparkSession, path: str) -> DataFrame:
-    all_batches = spark.read.parquet(path)
-    newest = all_batches.agg(F.max("batch")).first()[0]
-    return all_batches.filter(C("batch") == newest).drop("batch")
+    return KeyedTable.open(spark, path).read().drop("_key")
+
+
+def follow_with_dead_letters(
+    messages: DataFrame, good: str, dead: str, checkpoint: str, offset: str = "seq", trigger: dict | None = None
+):
+    """Event messages that parse go to ``good`` as rows, the others with their offset and text to ``dead``.
+
+    One stream, two sinks: each batch writes a folder of its own on both sides, named by its number and overwritten if it
+    is run again. So a batch that failed between the two counts once on either side. Read both with :func:`read_batches`.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        marked = readers.is_event_message(batch).persist()  # taken from the source once; lost blocks are taken again
+        try:
+            rows = readers.parse_event_messages(marked.filter("_ok"), carry=(offset,))
+            rows.write.mode("overwrite").parquet(f"{good}/batch={batch_id}")
+            marked.filter("NOT _ok").select(offset, "value").write.mode("overwrite").parquet(f"{dead}/batch={batch_id}")
+        finally:
+            marked.unpersist()
+
+    return _run(messages, checkpoint, each, trigger)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all batches below ``path``."""
+    return spark.read.parquet(path).drop("batch")
 
 
 def follow_alerts(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
@@ -164,7 +216,7 @@ def follow_strongest(
     def each(batch: DataFrame, batch_id: int) -> None:
         names = [f.name for f in table.schema.fields]
         top = batch.orderBy(*best).limit(n).select(*names)
-        table.merge(top, combine, source, batch_id)
+        table.merge(top, combine, source, batch_id, whole=True)  # which rows stay depends on all of them
 
     return _run(stream, checkpoint, each, trigger)
 
