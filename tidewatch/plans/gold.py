@@ -169,18 +169,22 @@ def daily_aggregated_seismic_events(events: DataFrame, ordered: bool = False) ->
     The risk level uses the unrounded means. ``ordered`` sorts newest first,
     which a stored table does not keep.
     """
-    rolled = aggregates.rolling_rows_avg(aggregates.daily_region_stats(events))
+    daily = daily_of(aggregates.rolling_rows_avg(aggregates.daily_region_stats(events)))
+    return newest_first(daily) if ordered else daily
+
+
+def daily_of(rolled: DataFrame) -> DataFrame:
+    """Daily rows of region-days with their rolling mean."""
     level = seismic.daily_risk_level(
         C("MAX_MAGNITUDE"), C("SEISMIC_INTENSITY_INDEX"), C("TOTAL_EVENTS"), C("ROLLING_7D_AVG_EVENTS")
     )
-    daily = rolled.select(
+    return rolled.select(
         "EVENT_DATE", "REGION", "TOTAL_EVENTS",
         F.round("AVG_MAGNITUDE", 2).alias("AVG_MAGNITUDE"),
         "MAX_MAGNITUDE",
         F.round("ROLLING_7D_AVG_EVENTS", 1).alias("ROLLING_7D_AVG_EVENTS"),
         level.alias("DAILY_RISK_LEVEL"),
     )
-    return newest_first(daily) if ordered else daily
 
 
 def newest_first(daily: DataFrame) -> DataFrame:

@@ -817,12 +817,13 @@ def i1(spark, sf_dir):
 @query(
     "i2_unique",
     _check("unique", "unid", "warn", "SELECT count(*) FROM (SELECT unid FROM x_seismic GROUP BY unid HAVING count(*) > 1)")
-    + " UNION ALL " + _check("unique", "source_id", "error", "SELECT 0"),
+    + " UNION ALL " + _check("unique", "flynn_region", "error",
+                             "SELECT count(*) FROM (SELECT flynn_region FROM x_seismic WHERE flynn_region IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
 )
 def i2(spark, sf_dir):
     """Repeated values."""
     rows = Domain(spark, sf_dir).seismic()
-    return quality.combine(quality.unique(rows, "unid", "warn"), quality.unique(rows, "source_id"))
+    return quality.combine(quality.unique(rows, "unid", "warn"), quality.unique(rows, "flynn_region"))
 
 
 @query(
@@ -838,7 +839,9 @@ def i3(spark, sf_dir):
 
 @query(
     "i4_relationships",
-    _check("relationships", "DESTINATION_PORT_SK", "error", "SELECT 0") + " UNION ALL "
+    _check("relationships", "DESTINATION_PORT_SK", "error",
+           "SELECT count(*) FROM s_voyage WHERE DESTINATION_PORT_SK IS NOT NULL AND DESTINATION_PORT_SK NOT IN"
+           " (SELECT PORT_SK FROM s_port WHERE HARBOR_SIZE = 'Small')") + " UNION ALL "
     + _check("relationships", "unid", "error",
              "SELECT count(*) FROM x_seismic WHERE unid NOT IN (SELECT EVENT_ID FROM y_events)"),
 )
@@ -846,7 +849,7 @@ def i4(spark, sf_dir):
     """I4: keys without a parent."""
     d = Domain(spark, sf_dir)
     return quality.combine(
-        quality.relationships(d.voyages(), "DESTINATION_PORT_SK", d.dim_port(), "PORT_SK"),
+        quality.relationships(d.voyages(), "DESTINATION_PORT_SK", d.dim_port().filter("HARBOR_SIZE = 'Small'"), "PORT_SK"),
         quality.relationships(d.seismic(), "unid", d.silver_events(), "EVENT_ID"),
     )
 
@@ -863,17 +866,47 @@ def i5(spark, sf_dir):
     return quality.freshness(Domain(spark, sf_dir).seismic(), "lastupdate", "2024-02-01 02:00:00")
 
 
+_MISSING = {c: f"(SELECT count(*) FILTER (WHERE {c} IS NULL) FROM x_vessels)" for c in _PROFILED}
+
+
 @query(
     "i6_validate_snapshot",
-    "SELECT 'rows' AS metric, count(*) AS value FROM x_vessels UNION ALL "
-    + " UNION ALL ".join(f"SELECT 'missing_{c}', count(*) FILTER (WHERE {c} IS NULL) FROM x_vessels" for c in _PROFILED),
+    "SELECT 'verdict' AS kind, CASE WHEN count(*) = 0 THEN 'no rows' WHEN count(name) = 0 THEN 'every name is NULL' ELSE 'OK' END"
+    " AS text FROM x_vessels UNION ALL SELECT 'warning', count(*) || ' rows, expected at least 50' FROM x_vessels HAVING count(*) < 50"
+    + "".join(
+        f" UNION ALL SELECT 'warning', '{c}: ' || {n} || ' of ' || (SELECT count(*) FROM x_vessels) || ' missing' WHERE {n} > 0"
+        for c, n in _MISSING.items()),
 )
 def i6(spark, sf_dir):
-    """Metrics of a snapshot that passes the gate."""
+    """Verdict and warnings of a snapshot."""
     verdict = quality.validate_snapshot(Domain(spark, sf_dir).vessels())
-    if not verdict.ok:
-        raise quality.QualityError(verdict.message)
-    return verdict.metrics
+    rows = [("verdict", verdict.message), *[("warning", w) for w in verdict.warnings]]
+    return spark.createDataFrame(rows, "kind string, text string")
+
+
+@query(
+    "i_fused_checks",
+    " UNION ALL ".join([
+        _check("not_null", "name", "error", "SELECT count(*) FROM x_vessels WHERE name IS NULL"),
+        _check("not_null", "type", "warn", "SELECT count(*) FROM x_vessels WHERE type IS NULL"),
+        _check("unique", "detail_link", "error",
+               "SELECT count(*) FROM (SELECT detail_link FROM x_vessels WHERE detail_link IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
+        _check("unique", "destination_port_name", "warn",
+               "SELECT count(*) FROM (SELECT 1 FROM x_vessels WHERE destination_port_name IS NOT NULL GROUP BY destination_port_name HAVING count(*) > 1)"),
+        _check("accepted_values", "type", "error", "SELECT count(DISTINCT type) FROM x_vessels WHERE type NOT IN ('Cargo', 'Tanker')"),
+        _check("relationships", "destination_port_name", "warn",
+               "SELECT count(*) FROM x_vessels WHERE destination_port_name NOT IN (SELECT Main_Port_Name FROM x_ports"
+               " WHERE Main_Port_Name IS NOT NULL)"),
+    ]),
+)
+def i_fused(spark, sf_dir):
+    """Six checks of the reports from one scan and one shuffle, most of them failing."""
+    d, check = Domain(spark, sf_dir), quality.Check
+    return quality.check_all(d.vessels(), [
+        check("not_null", "name"), check("not_null", "type", "warn"), check("unique", "detail_link"),
+        check("unique", "destination_port_name", "warn"), check("accepted_values", "type", values=("Cargo", "Tanker")),
+        check("relationships", "destination_port_name", "warn", parent="ports", key="Main_Port_Name"),
+    ], {"ports": d.ports()})
 
 
 # --- P: pages -----------------------------------------------------------------

@@ -8,6 +8,7 @@ from tidewatch import adapters as A
 from tidewatch.operators.dedup import active_vessels
 from tidewatch.plans import monitor, recommend, star
 from tidewatch.plans import rebuild as rebuilds
+from tidewatch.plans.incremental import Incremental
 from tidewatch.registry.base import query
 from tidewatch.registry.common import Domain
 from tidewatch.registry.sql import replaced
@@ -224,3 +225,33 @@ def m20(spark, sf_dir):
         out = row if out is None else out.unionByName(row)
     return out
 
+
+
+def _incremental(spark, sf_dir) -> Incremental:
+    """The star kept current: ports, then half of the reports and events, then all of them."""
+    d = Domain(spark, sf_dir)
+    inc = Incremental(spark, scratch(spark, "star"), A.AS_OF, d.aliases(), ("1992-01-01", "2024-03-01"), buckets=8)
+    loaded = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    inc.ports(d.ports().withColumn("_LOADED_AT", loaded))
+    return inc
+
+
+@query("m20_incremental_daily", replaced("s_daily", stamps="EVENT_DATE EVENT_MONTH FACT_LOADED_AT"))
+def m20_daily(spark, sf_dir):
+    """The daily fact after two event days, of which the second revises the first."""
+    inc, rows = _incremental(spark, sf_dir), Domain(spark, sf_dir).seismic()
+    inc.events(rows.filter("lastupdate < timestamp '2024-01-16'"))
+    inc.events(rows)
+    return inc.read("fact_daily_seismic")
+
+
+@query("m20_incremental_voyages",
+       "SELECT * FROM (" + replaced("s_voyage", _VESSEL_DATES + " LATEST_ARRIVAL_DATE", "REPORT_DATE FACT_LOADED_AT") + ") WHERE REPORT_DATE IS NOT NULL")
+def m20_voyages(spark, sf_dir):
+    """The voyage fact after two ingests of the reports."""
+    inc, rows = _incremental(spark, sf_dir), Domain(spark, sf_dir).vessels()
+    first = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    late = F.pmod(F.xxhash64("name"), F.lit(2)) == 0
+    inc.vessels(rows.filter(~late).withColumn("_INGESTED_AT", first))
+    inc.vessels(rows.withColumn("_INGESTED_AT", F.when(late, C("_INGESTED_AT")).otherwise(first)))
+    return inc.read("fact_vessel_voyage")
