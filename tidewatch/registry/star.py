@@ -227,10 +227,10 @@ def m20(spark, sf_dir):
 
 
 
-def _incremental(spark, sf_dir) -> Incremental:
-    """The star kept current: ports, then half of the reports and events, then all of them."""
+def _incremental(spark, sf_dir, as_of) -> Incremental:
+    """The star with its ports loaded."""
     d = Domain(spark, sf_dir)
-    inc = Incremental(spark, scratch(spark, "star"), A.AS_OF, d.aliases(), ("1992-01-01", "2024-03-01"), buckets=8)
+    inc = Incremental(spark, scratch(spark, "star"), as_of, d.aliases(), ("1992-01-01", "2024-03-01"), buckets=8)
     loaded = F.lit("2024-01-10 00:00:00").cast("timestamp")
     inc.ports(d.ports().withColumn("_LOADED_AT", loaded))
     return inc
@@ -239,7 +239,7 @@ def _incremental(spark, sf_dir) -> Incremental:
 @query("m20_incremental_daily", replaced("s_daily", stamps="EVENT_DATE EVENT_MONTH FACT_LOADED_AT"))
 def m20_daily(spark, sf_dir):
     """The daily fact after two event days, of which the second revises the first."""
-    inc, rows = _incremental(spark, sf_dir), Domain(spark, sf_dir).seismic()
+    inc, rows = _incremental(spark, sf_dir, A.AS_OF), Domain(spark, sf_dir).seismic()
     inc.events(rows.filter("lastupdate < timestamp '2024-01-16'"))
     inc.events(rows)
     return inc.read("fact_daily_seismic")
@@ -249,9 +249,9 @@ def m20_daily(spark, sf_dir):
        "SELECT * FROM (" + replaced("s_voyage", _VESSEL_DATES + " LATEST_ARRIVAL_DATE", "REPORT_DATE FACT_LOADED_AT") + ") WHERE REPORT_DATE IS NOT NULL")
 def m20_voyages(spark, sf_dir):
     """The voyage fact after two ingests of the reports."""
-    inc, rows = _incremental(spark, sf_dir), Domain(spark, sf_dir).vessels()
-    first = F.lit("2024-01-30 00:00:00").cast("timestamp")
-    late = F.pmod(F.xxhash64("name"), F.lit(2)) == 0
-    inc.vessels(rows.filter(~late).withColumn("_INGESTED_AT", first))
-    inc.vessels(rows.withColumn("_INGESTED_AT", F.when(late, C("_INGESTED_AT")).otherwise(first)))
+    inc, rows = _incremental(spark, sf_dir, A.VESSELS_AS_OF), Domain(spark, sf_dir).vessels()
+    late = F.pmod(F.xxhash64(F.trim("name")), F.lit(2)) == 0
+    second = F.when(late, C("_INGESTED_AT") + F.expr("INTERVAL 40 YEARS")).otherwise(C("_INGESTED_AT"))
+    inc.vessels(rows.filter(F.coalesce(~late, F.lit(True))))
+    inc.vessels(rows.withColumn("_INGESTED_AT", second))
     return inc.read("fact_vessel_voyage")
