@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -51,15 +52,48 @@ def test_binomial_bound():
                 assert Q.binomial_cdf(k, n, p) == pytest.approx(total, rel=1e-9)
 
 
-def test_chosen_cutoff():
-    good, bad = [0] * Q.LEVELS, [0] * Q.LEVELS
-    good[0], good[3], bad[40], bad[60] = 5_000, 2, 30, 10
-    assert Q.chosen_cutoff(good, bad, 0.01, 0.01) == 39
-    bad[1] = 500  # two good ones lost for five hundred bad ones pay
-    assert Q.chosen_cutoff(good, bad, 0.01, 0.01) == 0
-    assert Q.chosen_cutoff([100] + [0] * 100, bad, 0.01, 0.01) is None  # too few to certify anything
-    good[50] = 200
-    assert Q.chosen_cutoff(good, bad, 0.01, 0.01) == 59 or Q.chosen_cutoff(good, bad, 0.01, 0.01) == 50
+def test_path():
+    steps = Q.path()
+    now = [100] * 4
+    for signal, cutoff in steps:
+        assert cutoff == now[signal] - 1
+        now[signal] = cutoff
+    assert now == [0] * 4
+    first = Q.first_steps()
+    for signal, level in ((0, 100), (1, 37), (2, 1), (3, 70)):
+        t = first[signal][level]
+        assert steps[t - 1] == (signal, level - 1)
+    assert all(f[0] == len(steps) + 1 for f in first)
+
+
+def test_certified_step():
+    never, last = len(Q.path()) + 1, len(Q.path())
+    assert Q.certified_step({never: 500}, {10: 5, 60: 3}, 0.02, 0.0125) == 60
+    assert Q.certified_step({never: 180}, {10: 5}, 0.02, 0.0125) == 0  # too few to certify anything
+    assert Q.certified_step({}, {10: 5}, 0.02, 0.05) == 0
+    # two good ones lost only pay for more than forty bad ones
+    assert Q.certified_step({never: 1_000, 30: 2}, {10: 5, 40: 39}, 0.02, 0.0125) == 10
+    assert Q.certified_step({never: 1_000, 30: 2}, {10: 5, 40: 60}, 0.02, 0.0125) == 40
+    # nothing behind the first failure
+    assert Q.certified_step({never: 1_000, 30: 25}, {40: 10_000}, 0.02, 0.0125) == 0
+    assert Q.certified_step({never: 1_000}, {last: 1}, 0.02, 0.0125) == last
+
+
+def test_no_stratum_loses_more_than_promised():
+    """Many holdouts: the share in which any stratum's true loss exceeds ALPHA stays within DELTA."""
+    r, never, strata = random.Random(6), len(Q.path()) + 1, 4
+    # a small stratum, large ones, and one unlike the rest whose good documents look bad early
+    shape = [(230, 0.0004, 1), (500, 0.0004, 1), (2_000, 0.0004, 1), (500, 0.002, 1)]
+    failed, runs = 0, 150
+    for _ in range(runs):
+        worst = 0.0
+        for n, slope, first in shape:
+            # the true share lost at step t is slope * (t - first + 1)
+            draws = [never if (u := r.random()) >= slope * (never - first) else first + int(u / slope) for _ in range(n)]
+            step = Q.certified_step(Counter(draws), {t: 10_000 for t in range(1, never)}, Q.ALPHA, Q.DELTA / strata)
+            worst = max(worst, slope * max(0, step - first + 1))
+        failed += worst > Q.ALPHA
+    assert failed <= runs * Q.DELTA + 3 * math.sqrt(runs * Q.DELTA)
 
 
 def test_certified_cutoffs_reject_junk(spark):

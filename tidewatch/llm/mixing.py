@@ -6,8 +6,9 @@ gets floor(m) copies for certain and takes part with inclusion probability
 pi = m - floor(m) in a draw without replacement. The draw ranks documents by
 Q = odds(u) / odds(pi) with u uniform, and takes them in that order while
 they fit what the certain copies left of the target (the sample's size is
-fixed in words). One closing document follows if it brings the source nearer
-to its target.
+fixed in words). Past a document that doesn't fit the draw goes on with those that do,
+until all free documents are larger than what is open. The smallest of them closes the gap if that brings
+the source nearer to its target. So every source ends within half of its smallest free document.
 """
 
 from __future__ import annotations
@@ -61,7 +62,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed:
     of its size: longer documents are somewhat likelier. u comes from md5 of
     seed, doc_id and text, so reruns agree on any layout. Sources are split by
     a histogram of the ranks; only the bin at the boundary, about BIN_ROWS
-    documents, is sorted. Rows equal in doc_id and text are told apart by
+    documents, is sorted. Each pass past a document that doesn't fit leaves less open than that document has
+    words. There is one row per source in a task of its own, which is meant for up to some millions of sources. Rows equal in doc_id and text are told apart by
     their place in the table; which of them is taken makes no difference.
     Null sources form one source; a null doc_id counts as "". An empty table
     gives no rows. Other columns are not read.
@@ -109,39 +111,44 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed:
     d = d.withColumn("q", F.when(draws, odds))
     d = d.withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * F.col("bins")).cast("bigint"))
     d = d.drop("p_source", "p_digits", "pi", "u", "digits")
-    # per source: the words of whole bins that fit, and the first bin that doesn't
-    h = d.where("q is not null").groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-    run = F.sum("words").over(W.partitionBy("source").orderBy("bin"))
-    h = h.withColumn("run", run).groupBy("source").agg(
-        F.min(F.when(F.col("run") > F.col("left"), F.col("bin"))).alias("cut"),
-        F.max(F.when(F.col("run") <= F.col("left"), F.col("run"))).alias("taken_before"),
-    )
-    h = stage(h, "mix-cuts").select(F.col("source").alias("h_source"), "cut", F.coalesce("taken_before", F.lit(0)).alias("before"))
-    d = d.join(h, F.col("source").eqNullSafe(F.col("h_source")), "left").drop("h_source")
-    inside = (F.col("q").isNotNull()) & (F.col("cut").isNull() | (F.col("bin") < F.col("cut")))
-    edge = d.where("bin = cut").select("source", "uid", "size", "q", "row_key", "left", "before")
-    run = F.col("before") + F.sum("size").over(W.partitionBy("source").orderBy("q", "row_key", "uid"))
-    edge = stage(edge.select("source", "uid", "size", "left", run.alias("run")), "mix-edge")
-    taken = edge.where("run <= left").select(F.col("uid").alias("e_uid"))
-    got = edge.groupBy("source").agg(
-        F.max("left").alias("left"), F.max(F.when(F.col("run") <= F.col("left"), F.col("run"))).alias("run")
-    )
-    # the closing document: the nearest to the gap among those not drawn, if it is no larger than twice the gap
-    got = got.select(F.col("source").alias("g_source"), "left", "run")
-    open_docs = d.where("bin >= cut").select("source", "uid", "size", "q", "row_key", "before")
-    gap = F.col("left") - F.coalesce(F.col("run"), F.col("before"))
-    close = (
-        open_docs.join(taken, F.col("uid") == F.col("e_uid"), "left_anti")
-        .join(got, F.col("source").eqNullSafe(F.col("g_source")))
-        .where(F.col("size") < 2 * gap)
-        .groupBy("source")
-        .agg(F.min(F.struct(F.abs(gap - F.col("size")), "q", "row_key", "uid")).alias("best"))
-        .select(F.col("best.uid").alias("e_uid"))
-    )
-    extra = taken.unionByName(close).withColumn("drawn", F.lit(1))
-    d = d.join(extra, F.col("uid") == F.col("e_uid"), "left")
+    d = stage(d, "mix-draw")
+    # what the draw still lacks of each source; it goes on in the order of ranks past documents that don't fit
+    free = d.where("q is not null").select("source", "uid", "size", "q", "row_key", "bin")
+    gaps = plan.groupBy("source").agg(F.max("left").alias("gap"))
+    drawn = []
+    while True:
+        fitting = free.join(gaps.select(F.col("source").alias("g_source"), "gap"), F.col("source").eqNullSafe(F.col("g_source")))
+        fitting = fitting.where("size <= gap")
+        # the first bin that doesn't fit in whole; at most its documents and the gap's words are sorted
+        h = fitting.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
+        run = F.sum("words").over(W.partitionBy("source").orderBy("bin"))
+        h = h.withColumn("run", run).groupBy("source").agg(
+            F.min(F.when(F.col("run") > F.col("gap"), F.col("bin"))).alias("cut"),
+            F.max(F.when(F.col("run") <= F.col("gap"), F.col("run"))).alias("before"),
+        )
+        h = stage(h, "mix-cuts").select(F.col("source").alias("h_source"), "cut", F.coalesce("before", F.lit(0)).alias("before"))
+        fitting = fitting.join(h, F.col("source").eqNullSafe(F.col("h_source"))).drop("g_source", "h_source")
+        whole_bins = fitting.where("cut is null or bin < cut").select("source", "uid", "size")
+        run = F.col("before") + F.sum("size").over(W.partitionBy("source").orderBy("q", "row_key", "uid"))
+        edge = fitting.where("bin = cut").withColumn("run", run).where("run <= gap").select("source", "uid", "size")
+        taken = stage(whole_bins.unionByName(edge), "mix-taken")
+        got = taken.groupBy("source").agg(F.sum("size").alias("got")).select(F.col("source").alias("g_source"), "got")
+        if got.isEmpty():
+            break
+        drawn.append(taken)
+        gaps = gaps.join(got, F.col("source").eqNullSafe(F.col("g_source")), "left")
+        gaps = stage(gaps.select("source", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap")), "mix-gaps")
+        gone = taken.select(F.col("uid").alias("t_uid"))
+        free = stage(free.join(gone, F.col("uid") == F.col("t_uid"), "left_anti"), "mix-free")
+    # now every free document is larger than the gap; one closes it if that comes nearer
+    close = free.join(gaps.select(F.col("source").alias("g_source"), "gap"), F.col("source").eqNullSafe(F.col("g_source")))
+    close = close.where("size < 2 * gap").groupBy("source").agg(F.min(F.struct("size", "q", "row_key", "uid")).alias("best"))
+    extra = close.select(F.col("best.uid").alias("e_uid"))
+    for taken in drawn:
+        extra = extra.unionByName(taken.select(F.col("uid").alias("e_uid")))
+    d = d.join(extra.withColumn("drawn", F.lit(1)), F.col("uid") == F.col("e_uid"), "left")
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(
-        F.col("certain") + F.when(inside, 1).otherwise(F.coalesce("drawn", F.lit(0)))
+        F.col("certain") + F.coalesce("drawn", F.lit(0))
     )
     d = d.withColumn("copies", copies.cast("bigint"))
     return d.select(

@@ -39,6 +39,23 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM s
 """
 
+#: Passes of the draw that the SQL spells out; the operator goes on until nothing fits.
+_PASSES = 16
+
+
+def _op7_passes() -> str:
+    """A pass takes, in the order of ranks, the free documents that fit what is open, up to the first that doesn't."""
+    start = "p0 AS (SELECT *, false AS drawn FROM q),"
+    step = """
+g{n} AS (SELECT source, any_value(free) - coalesce(sum(size) FILTER (drawn), 0) AS gap FROM p{m} GROUP BY source),
+f{n} AS (
+  SELECT p.uid, g.gap, sum(p.size) OVER (PARTITION BY p.source ORDER BY p.q, p.h, p.uid ROWS UNBOUNDED PRECEDING) AS run
+  FROM p{m} p JOIN g{n} g ON p.source IS NOT DISTINCT FROM g.source WHERE p.q IS NOT NULL AND NOT p.drawn AND p.size <= g.gap),
+p{n} AS (
+  SELECT p.* EXCLUDE (drawn), p.drawn OR coalesce(f.run <= f.gap, false) AS drawn FROM p{m} p LEFT JOIN f{n} f ON p.uid = f.uid),"""
+    return start + "".join(step.format(n=n, m=n - 1) for n in range(1, _PASSES + 1))
+
+
 OP7 = f"""
 WITH d AS (
   SELECT doc_id, source, len({WORDS})::BIGINT AS size,
@@ -74,22 +91,17 @@ q AS (
   SELECT r.doc_id, r.source, r.size, r.h, r.uid, p.target, p.certain, p.free,
     CASE WHEN p.pi > 0 AND r.size > 0 THEN r.u * (1 - p.pi) / ((1 - r.u) * p.pi) END AS q
   FROM r JOIN p ON r.source IS NOT DISTINCT FROM p.source AND r.digits = p.digits),
-c AS (
-  SELECT *, CASE WHEN q IS NOT NULL THEN sum(CASE WHEN q IS NOT NULL THEN size END) OVER (PARTITION BY source
-    ORDER BY q NULLS LAST, h, uid ROWS UNBOUNDED PRECEDING) END AS run FROM q),
-e AS (SELECT *, coalesce(run <= free, false) AS inside FROM c),
-z AS (SELECT source, max(free) - coalesce(max(run) FILTER (inside), 0) AS gap FROM e GROUP BY source),
+{_op7_passes()}
+z AS (SELECT p0.source, any_value(p0.free) - coalesce(sum(p0.size) FILTER (p{_PASSES}.drawn), 0) AS gap
+  FROM p0 JOIN p{_PASSES} ON p0.uid = p{_PASSES}.uid GROUP BY p0.source),
 k AS (
-  SELECT arg_min(uid, {{'a': abs(z.gap - size), 'b': q, 'c': h, 'd': uid}}) AS uid FROM e JOIN z ON e.source IS NOT DISTINCT FROM z.source
-  WHERE q IS NOT NULL AND NOT inside AND size < 2 * z.gap GROUP BY e.source)
+  SELECT arg_min(e.uid, {{'a': e.size, 'b': e.q, 'c': e.h, 'd': e.uid}}) AS uid FROM p{_PASSES} e JOIN z ON e.source IS NOT DISTINCT FROM z.source
+  WHERE e.q IS NOT NULL AND NOT e.drawn AND e.size < 2 * z.gap GROUP BY e.source)
 SELECT e.doc_id, e.size, t.source_size, e.target,
-  CASE WHEN e.size = 0 THEN 0 ELSE (e.certain + CASE WHEN e.inside OR k.uid IS NOT NULL THEN 1 ELSE 0 END) * e.size END::BIGINT AS taken
-FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source LEFT JOIN k ON e.uid = k.uid
+  CASE WHEN e.size = 0 THEN 0 ELSE (e.certain + CASE WHEN e.drawn OR k.uid IS NOT NULL THEN 1 ELSE 0 END) * e.size END::BIGINT AS taken
+FROM p{_PASSES} e JOIN t ON e.source IS NOT DISTINCT FROM t.source LEFT JOIN k ON e.uid = k.uid
 """
 
-_SHARE = Q.ALPHA / len(Q.SIGNALS)
-_LEAST = math.ceil(math.log(Q.DELTA / len(Q.SIGNALS)) / math.log1p(-_SHARE))
-
 OP9 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, {WORDS} AS w,
@@ -111,25 +123,20 @@ c AS (
      CASE WHEN n_words > 0 THEN least(100, 100 * n_repeat_words // n_words) ELSE 0 END,
      CASE WHEN word_chars > 0 THEN least(100, 100 * n_capitals // word_chars) ELSE 0 END] AS levels FROM b),
 m AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-e AS (SELECT lang, levels, good FROM c JOIN m ON c.doc_id = m.doc_id WHERE NOT base_failed),
-o AS (SELECT lang, count(*) FILTER (good) >= {_LEAST} AS large FROM e GROUP BY lang),
-f AS (SELECT CASE WHEN large THEN e.lang ELSE '{Q.REST}' END AS stratum, levels, good FROM e JOIN o ON e.lang = o.lang),
-g AS (SELECT stratum, s, levels[s] AS level, good FROM f, range(1, {len(Q.SIGNALS) + 1}) AS k(s)),
+s AS (SELECT *, list_min([{", ".join(f"{f}[levels[{i + 1}] + 1]" for i, f in enumerate(Q.first_steps()))}]) AS step FROM c),
+e AS (SELECT lang, step, good FROM s JOIN m ON s.doc_id = m.doc_id WHERE NOT base_failed),
 h AS (
-  SELECT stratum, s, cut, count(*) FILTER (good) AS n, count(*) FILTER (good AND level > cut) AS lost,
-    count(*) FILTER (NOT good AND level > cut) AS caught
-  FROM g, range(0, {Q.LEVELS - 1}) AS k(cut) GROUP BY stratum, s, cut),
+  SELECT lang, t, count(*) FILTER (good) AS n, count(*) FILTER (good AND step <= t) AS lost, count(*) FILTER (NOT good AND step <= t) AS caught
+  FROM e, range(1, {len(Q.path()) + 1}) AS k(t) GROUP BY lang, t),
 i AS (
-  SELECT *, n > 0 AND lost < n * {_SHARE} AND (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-      + j * ln({_SHARE}) + (n - j) * ln(1 - {_SHARE}))) FROM range(0, lost + 1) AS k(j))
-    <= {Q.DELTA} / ({len(Q.SIGNALS)} * (SELECT count(DISTINCT stratum) FROM f)) AS good_enough FROM h),
-j AS (SELECT *, bool_and(good_enough) OVER (PARTITION BY stratum, s ORDER BY cut DESC) AS certified FROM i),
+  SELECT *, n > 0 AND lost < n * {Q.ALPHA} AND (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+      + j * ln({Q.ALPHA}) + (n - j) * ln(1 - {Q.ALPHA}))) FROM range(0, lost + 1) AS k(j))
+    <= {Q.DELTA} / (SELECT count(DISTINCT lang) FROM e) AS good_enough FROM h),
+j AS (SELECT *, bool_and(good_enough) OVER (PARTITION BY lang ORDER BY t) AS certified FROM i),
 n AS (
-  SELECT stratum, s, arg_max(cut, {{'w': caught - {Q.PENALTY} * lost, 'c': cut}}) AS cut FROM j
-  WHERE certified AND caught - {Q.PENALTY} * lost > 0 GROUP BY stratum, s),
-u AS (
-  SELECT c.r, bool_or(c.levels[n.s] > n.cut) AS rejected
-  FROM c LEFT JOIN o ON c.lang = o.lang JOIN n ON n.stratum = CASE WHEN o.large THEN c.lang ELSE '{Q.REST}' END GROUP BY c.r)
+  SELECT lang, arg_max(t, {{'w': caught - {Q.PENALTY} * lost, 't': -t}}) AS t FROM j
+  WHERE certified AND caught - {Q.PENALTY} * lost > 0 GROUP BY lang),
+u AS (SELECT s.r, step <= t AS rejected FROM s JOIN n ON s.lang = n.lang)
 SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(rejected, false) AS kept
 FROM c LEFT JOIN u ON c.r = u.r
