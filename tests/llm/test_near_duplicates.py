@@ -106,3 +106,14 @@ def test_weighted_classes(spark):
 
 def test_empty(empty):
     assert classes(empty).collect() == [] and without_near_duplicates(empty).collect() == []
+
+
+def test_many_repeats_of_two_near_texts(spark):
+    """Repeated rows cost one comparison, not one per pair of rows."""
+    r = random.Random(8)
+    base = [f"w{r.randrange(9999)}" for _ in range(150)]
+    a, b = " ".join(base), " ".join([*base[:-1], "other"])
+    rows = [(None, a), (None, b), (5, a), (6, "one more text of its own words here")]
+    docs = spark.createDataFrame(rows * 3_000, "doc_id bigint, text string").repartition(6)
+    got = classes(docs).groupBy("class_id").agg({"*": "count", "class_texts": "max"}).collect()
+    assert {(x["class_id"], x["count(1)"], x["max(class_texts)"]) for x in got} == {(5, 9_000, 2), (6, 3_000, 1)}

@@ -81,3 +81,16 @@ def test_near_copies_never_meet(spark, tmp_path):
 def test_empty(empty):
     assert pack(empty).collect() == []
     assert pack_apart(empty).collect() == []
+
+
+def test_bins_of_blocks_never_share_a_number(spark, monkeypatch):
+    """However many bins a block has, the next block's numbers begin behind them."""
+    from pyspark.sql import functions as F
+    from tidewatch.llm import packing
+
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"))
+    size = (F.col("doc_id") % 7 + 1) * 10_000_000
+    got = packing.pack(docs, size=size, cluster=F.col("doc_id"), block_rows=50)
+    full = got.groupBy("bin_id").agg(F.sum("n_words").alias("n"), F.max("bin_words").alias("m"))
+    assert full.where("n > 2048 or n <> m").count() == 0
+    assert got.agg(F.sum("n_words")).first()[0] == sum((i % 7 + 1) * 10_000_000 for i in range(300))

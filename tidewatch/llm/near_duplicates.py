@@ -24,8 +24,8 @@ from tidewatch.llm.tokens import chained, mixed, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: A pair at the threshold shares no band with probability (1 - 0.8^6)^40 < 6e-6.
-ROWS, BANDS = 6, 40
+#: A pair at the threshold shares no band with probability (1 - 0.8^5)^25 < 5e-5.
+ROWS, BANDS = 5, 25
 #: Bytes of text worked on at once in a task.
 BLOCK_BYTES = 4 << 20
 #: Members of a bucket in one tile of the last step.
@@ -38,6 +38,7 @@ def shingles(texts: list[bytes], width: int = SHINGLE):
     A text of fewer words than ``width`` is one shingle; one without words has none.
     """
     h, n = word_hashes(texts)
+    words = n
     starts = np.cumsum(n) - n
     digests = [hashlib.md5(h[s : s + k].tobytes()).digest() for s, k in zip(starts, n, strict=True)]
     # room of width - 1 zeros behind each short text, so that all windows exist
@@ -51,21 +52,21 @@ def shingles(texts: list[bytes], width: int = SHINGLE):
         h, n = filled, n + pad
         doc = np.repeat(np.arange(len(n)), n)
     if len(h) < width:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), digests, n
+        return np.empty(0, np.uint64), np.empty(0, np.int64), digests, words
     windows = chained(*[h[i : len(h) - width + 1 + i] for i in range(width)])
     inside = doc[: len(windows)] == doc[width - 1 :]
-    return windows[inside], doc[: len(windows)][inside], digests, n
+    return windows[inside], doc[: len(windows)][inside], digests, words
 
 
 def distinct_shingles(texts: list[bytes], width: int = SHINGLE):
     """As :func:`shingles`, each shingle once per text and sorted in it, with how often it occurs there."""
-    h, doc, digests, n = shingles(texts, width)
+    h, doc, digests, words = shingles(texts, width)
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
-    return h[at], doc[at], np.diff(np.append(at, len(h))), digests
+    return h[at], doc[at], np.diff(np.append(at, len(h))), digests, words
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
@@ -129,7 +130,7 @@ def signer(rows: int, bands: int, width: int, weighted: bool, carried: list[str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _blocks(batch):
-                h, doc, times, digests = distinct_shingles(texts, width)
+                h, doc, times, digests, words = distinct_shingles(texts, width)
                 weights = times.astype(float) if weighted else np.ones(len(h))
                 s = dart_signatures(h, doc, weights, len(texts), rows * bands)
                 keys = chained(
@@ -148,9 +149,10 @@ def signer(rows: int, bands: int, width: int, weighted: bool, carried: list[str]
                         pa.array(sizes.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
                         pa.array([x.tobytes() for x in (s >> np.uint64(56)).astype(np.uint8)], pa.binary()),
+                        pa.array(words.astype(np.int64)),
                         *[part[c] for c in carried],
                     ],
-                    names=["doc_id", "raw", "digest", "n_shingles", "bands", "sketch", *carried],
+                    names=["doc_id", "raw", "digest", "n_shingles", "bands", "sketch", "words", *carried],
                 )
 
     return run
@@ -160,7 +162,7 @@ def shingler(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _blocks(batch):
-                h, doc, times, _ = distinct_shingles(texts, width)
+                h, doc, times, _, _ = distinct_shingles(texts, width)
                 offsets = np.searchsorted(doc, np.arange(len(texts) + 1))
                 lists = lambda v: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(v, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -203,7 +205,7 @@ def classes(
     weighted: bool = False,
     carry: Column | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, kept, raw (md5 of its text), class_no, uid and, if given, carry (as ``carried``).
+    """One row per document: doc_id, class_id, kept, raw (md5 of its text), class_no, uid, words and, if given, carry (as ``carried``).
 
     Classes are the connected components of similarity >= ``threshold``, over
     sets of word shingles (``weighted``: over multisets). class_id is the
@@ -213,7 +215,7 @@ def classes(
     shingle; all texts without words, null ones too, are copies of each other.
     Repeated rows are copies; which of several equal rows is kept doesn't
     matter, but ``kept`` is set on one of them only. class_no is one number per class, never null;
-    uid numbers the rows. Other columns are not read.
+    uid numbers the rows, words is the number of a text's words. Other columns are not read.
 
     Copies are one node each. In each band bucket every node is compared with
     the bucket's first one; what then still lies in different components of
@@ -229,12 +231,12 @@ def classes(
     carried = [f.name for f in d.schema if f.name == "carried"]
     signed = d.mapInArrow(
         signer(rows, bands, width, weighted, carried),
-        "doc_id bigint, raw string, digest binary, n_shingles bigint, bands array<bigint>, sketch binary"
+        "doc_id bigint, raw string, digest binary, n_shingles bigint, bands array<bigint>, sketch binary, words bigint"
         + "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in carried),
     )
     signed = stage(signed.withColumn("uid", F.monotonically_increasing_id()), "darts")
     first = F.row_number().over(W.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last(), "raw", "uid"))
-    nodes = signed.drop(*carried).withColumn("nr", first).where("nr = 1").drop("nr")
+    nodes = signed.drop("words", *carried).withColumn("nr", first).where("nr = 1").drop("nr")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "texts")
     banded = nodes.select("node", F.posexplode("bands").alias("no", "band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -245,8 +247,10 @@ def classes(
     pairs = stage(pairs.withColumn("choice", best), "pairs")
 
     wanted = members.select("node").distinct()
-    source = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("i_"), F.col("raw").alias("r_"))
-    texts = d.join(source, F.col("doc_id").eqNullSafe(F.col("i_")) & (F.col("raw") == F.col("r_"))).select("node", "text")
+    # rows equal in id and text give one text, so no pair is compared twice
+    key = F.concat_ws("/", "raw", F.col("doc_id").cast("string")).alias("key")
+    source = nodes.join(wanted, "node", "left_semi").select("node", key)
+    texts = d.select(key, "text").dropDuplicates(["key"]).join(source, "key").select("node", "text")
     sets = stage(
         texts.mapInArrow(shingler(width), "node bigint, shingles array<bigint>, times array<bigint>"), "shingles"
     )
@@ -318,6 +322,7 @@ def classes(
         "raw",
         F.col("comp").alias("class_no"),
         "uid",
+        "words",
         *carried,
     )
 

@@ -31,6 +31,9 @@ BLOCK_ROWS = 8_192
 #: would set the number of sequences and leave them half empty.
 PER_SOURCE = 4
 
+#: A task has room for 2^40 bins, some 10^15 words.
+PART_SHIFT = 40
+
 SCHEMA = "bin_id bigint, doc_id bigint, piece int, start bigint, n_words bigint, position int, bin_words bigint"
 
 
@@ -124,7 +127,7 @@ def pack(
     rests of one source, or two of one cluster (default: texts equal but for case and spacing). Null
     sources and clusters conflict with nothing. Documents without words (null
     or blank text) come out once with null bin_id. Null and repeated doc_ids
-    are packed like any row. Bins are numbered by task, block and bin, so a
+    are packed like any row. Bins are numbered from task number times 2^40 on, through all blocks of a task, so a
     repeated task gives the same bins.
     """
     words = n_words("text") if size is None else size
@@ -138,9 +141,10 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, block, part = [], 0, 0, 0
+        held, n, first, part = [], 0, 0, 0
 
         def flush():
+            nonlocal first
             t = pa.Table.from_batches(held)
             b, item, piece, start, n_w, pos, filled = pack_block(
                 [x or 0 for x in t["size"].to_pylist()],
@@ -149,9 +153,9 @@ def pack(
                 capacity,
             )
             ids = t["doc_id"].combine_chunks()
-            return pa.RecordBatch.from_arrays(
+            packed = pa.RecordBatch.from_arrays(
                 [
-                    pa.array((part << 40) + (block << 20) + b, mask=b < 0),
+                    pa.array((part << PART_SHIFT) + first + b, mask=b < 0),
                     ids.take(pa.array(item)),
                     pa.array(piece.astype(np.int32)),
                     pa.array(start),
@@ -161,6 +165,8 @@ def pack(
                 ],
                 names=["bin_id", "doc_id", "piece", "start", "n_words", "position", "bin_words"],
             )
+            first += int(b.max(initial=-1)) + 1
+            return packed
 
         for batch in batches:
             while batch.num_rows:
@@ -171,7 +177,7 @@ def pack(
                 batch = batch.slice(head.num_rows)
                 if n == block_rows:
                     yield flush()
-                    held, n, block = [], 0, block + 1
+                    held, n = [], 0
         if n:
             yield flush()
 
@@ -184,7 +190,7 @@ def pack_apart(docs: DataFrame, **options) -> DataFrame:
     Rows are dealt to tasks by their number, so a large class is spread over all blocks;
     texts stay where they are read.
     """
-    carry = F.struct(n_words("text").alias("size"), F.col("source").cast("string").alias("source"))
-    rows = near_duplicates.classes(docs, carry=carry).select("doc_id", "class_no", "uid", "carried.size", "carried.source")
+    rows = near_duplicates.classes(docs, carry=F.col("source").cast("string"))
+    rows = rows.select("doc_id", "class_no", "uid", F.col("words").alias("size"), F.col("carried").alias("source"))
     rows = rows.repartition("uid").sortWithinPartitions("uid")
     return pack(rows, size=F.col("size"), cluster=F.col("class_no"), **options)
