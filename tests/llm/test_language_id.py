@@ -84,3 +84,16 @@ def test_unlike_every_language(spark):
     assert sum(i < 0 for i in kept) <= 1
     some = docs.where(r"regexp_like(text, '\\p{L}')").count()
     assert sum(i >= 0 for i in kept) >= 0.99 * some
+
+
+def test_large_alphabets_take_little_memory():
+    """Bundles of texts with very many distinct trigrams, within a bound that doesn't grow with the alphabet."""
+    import tracemalloc
+
+    r = np.random.default_rng(2)
+    texts = ["".join(map(chr, r.integers(0x4E00, 0x9FA0, 2_000))) for _ in range(256)]
+    tracemalloc.start()
+    L.bundles(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 260 << 20

@@ -33,6 +33,12 @@ def test_changed_notices(spark, model):
     assert {(i, f) for i, _, f in scanned(spark, model, texts)} == {(0, "mit"), (1, "apache-2.0"), (2, "gpl")}
 
 
+def test_two_notices_in_a_line(spark, model):
+    texts = ["Released under the MIT License. Licensed under the Apache License, Version 2.0.", "Licensed under the MIT License. All rights reserved."]
+    got = {(i, f) for i, _, f in scanned(spark, model, texts)}
+    assert got >= {(0, "mit"), (0, "apache-2.0"), (1, "mit")}
+
+
 def test_other_texts(spark, model):
     texts = [*licences.OTHERWISE, "He was released from the hospital.", "The work of the public was free.", None, "", "...", "le la des"]
     assert scanned(spark, model, texts) == set()
@@ -57,6 +63,7 @@ def test_long_paragraph(spark, model):
     assert all(len(r["text"].split()) <= licences.WINDOW for r in rows)
     parts = licences.paragraphs(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
     assert any("MIT License." in r["text"] for r in parts.collect())
+    assert {r["family"] for r in rows if r["confirmed"]} == {"mit"}
 
 
 def test_ugly_and_empty(ugly, empty, model):

@@ -76,3 +76,16 @@ def test_share_of_full_and_half_full_leaves():
             scores[i] = -1
             recall.append(hit[at[np.argsort(-scores)[:20]]].any(1).mean())
         assert np.mean(recall) >= 0.94
+
+
+def test_many_ties_and_doubles(spark):
+    """More distinct vectors of one score than a query asks for, and numbers that a float can't hold."""
+    r = np.random.default_rng(5)
+    rows = [(0, [1.0] + [0.0] * 7), (20, [0.1] * 8)]
+    rows += [(int(i), [0.5, *r.normal(size=7).tolist()]) for i in r.permutation(np.arange(1, 400)) if i % 20]
+    rows += [(1_000 + i, [0.25 + i * 1e-12] + [0.0] * 7) for i in range(30)]
+    for kind in ("double", "float"):
+        vectors = spark.createDataFrame([(i, [float(np.float32(x)) for x in v] if kind == "float" else v) for i, v in rows],
+                                        f"vec_id bigint, embedding array<{kind}>").repartition(4)
+        got, want = compare(vectors)
+        assert got == want

@@ -52,7 +52,7 @@ def letter_vectors(codes: np.ndarray, dimensions: int) -> np.ndarray:
 
 
 def trigram_counts(texts: list[str]):
-    """(count matrix texts x trigrams, first, second and third letters of the trigrams)."""
+    """(text and trigram number of every occurrence, by trigram; first, second and third letters of the trigrams)."""
     codes = np.frombuffer(" ".join(["", *texts, ""]).encode("utf-32-le"), np.uint32)
     ends = np.cumsum([len(t) + 1 for t in texts])
     present = np.zeros(0x110000, bool)
@@ -74,9 +74,8 @@ def trigram_counts(texts: list[str]):
         at = number[grams]
     else:
         seen, at = np.unique(grams, return_inverse=True)
-    n = len(seen)
-    x = np.bincount(doc * n + at, minlength=len(texts) * n).reshape(len(texts), n).astype(np.float32)
-    return x, alphabet[seen // (k * k)], alphabet[seen // k % k], alphabet[seen % k]
+    order = np.argsort(at, kind="stable")
+    return doc[order], at[order], alphabet[seen // (k * k)], alphabet[seen // k % k], alphabet[seen % k]
 
 
 def trigram_vectors(a, b, c, dimensions: int) -> np.ndarray:
@@ -102,11 +101,16 @@ def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """Vectors of the texts (each without letters: zeros)."""
     out = np.zeros((len(texts), dimensions), np.float32)
     for s in _groups(texts):
-        x, a, b, c = trigram_counts(texts[s])
-        step = max(1, CELLS // max(len(texts[s]), dimensions))
+        doc, at, a, b, c = trigram_counts(texts[s])
+        rows = len(texts[s])
+        step = max(1, CELLS // max(rows, dimensions))
+        # counts of some trigrams at a time, so that memory doesn't grow with the alphabet
         for j in range(0, len(a), step):
             t = slice(j, j + step)
-            out[s] += x[:, t] @ trigram_vectors(a[t], b[t], c[t], dimensions)
+            n = len(a[t])
+            i, k = np.searchsorted(at, (j, j + n))
+            x = np.bincount(doc[i:k] * n + at[i:k] - j, minlength=rows * n).reshape(rows, n).astype(np.float32)
+            out[s] += x @ trigram_vectors(a[t], b[t], c[t], dimensions)
     return out
 
 
@@ -125,8 +129,8 @@ def learner(dimensions: int):
                 own = [texts[i] for i in np.flatnonzero(langs == lang)]
                 total = sums.setdefault(lang, np.zeros(dimensions))
                 for s in _groups(own):
-                    x, a, b, c = trigram_counts(own[s])
-                    counts = x.sum(0, dtype=np.float64)
+                    _, at, a, b, c = trigram_counts(own[s])
+                    counts = np.bincount(at, minlength=len(a)).astype(np.float64)
                     step = CELLS // dimensions
                     for j in range(0, len(a), step):
                         t = slice(j, j + step)

@@ -230,12 +230,32 @@ def fit(docs: DataFrame) -> Classifier:
     return model
 
 
+def without_template(words: str = "words") -> Column:
+    """The words of a row without the most similar template of its family, each of its words taken out once."""
+    own = F.array_distinct(F.col(words))
+    best = F.array().cast("array<string>")
+    for f in sorted(TEMPLATES):
+        known = [F.array_distinct(tokens(F.lit(x))) for x in TEMPLATES[f]]
+        likeness = [F.struct((F.size(F.array_intersect(t, own)) / F.size(t)).alias("share"), F.size(t).alias("n"), t.alias("t")) for t in known]
+        best = F.when(F.col("family") == f, F.array_max(F.array(*likeness))["t"]).otherwise(best)
+    again = lambda w, i: F.array_position(F.col(words), w) != i + 1
+    return F.filter(F.col(words), lambda w, i: ~F.array_contains(best, w) | again(w, i))
+
+
 def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     """One row per notice: doc_id, paragraph (line number from 0), part, text, family, probability, similarity, confirmed.
 
+    A window can hold a second notice: the words of the templates of the family found are taken out and the
+    rest is classified once more; it counts if a template of another family confirms it.
     Null and empty texts have no paragraphs; ids may be null or repeated, and
     each row is scanned. An empty table gives no rows. Long paragraphs are covered by overlapping
     windows, so a notice may be found in two parts. Other columns are not read.
     """
     model = model or fit(docs)
-    return model.predict(paragraphs(docs))
+    first = stage(model.predict(paragraphs(docs)), "licence-notices")
+    rest = first.withColumn("words", tokens(F.col("text"))).select(
+        "doc_id", "paragraph", "part", F.col("text").alias("whole"), F.col("family").alias("before"),
+        F.array_join(without_template(), " ").alias("text"),
+    )
+    second = model.predict(rest.where("text <> ''")).where("confirmed and family <> before")
+    return first.unionByName(second.drop("text", "before").withColumnRenamed("whole", "text").select(*first.columns))

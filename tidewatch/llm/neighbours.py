@@ -133,23 +133,33 @@ def matrix(column) -> np.ndarray:
 
 
 def best_in_leaf(k: int):
-    """For each query of a group its best ``k`` members; scores are sums in component order, in double."""
+    """For each query of a group its best ``k`` members, of equal scores those with the smaller id.
+
+    The matrix product only tells which members may be among them; scores are sums in component order, in double.
+    """
 
     def run(key, t):
         vectors = matrix(t["vector"]).astype(float)
-        entry, asks = t["entry"].to_numpy(), t["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        entry, first, asks = (t[c].to_numpy(zero_copy_only=False) for c in ("entry", "first", "asks"))
+        asks = asks.astype(bool)
         q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
         out = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
         step = max(1, (4 << 20) // max(1, len(m)))
+        take = min(len(m), k)
         for s in range(0, len(q) if len(m) else 0, step):
             rows = q[s : s + step]
             scores = vectors[rows] @ vectors[m].T
-            take = min(len(m), k + 4)
-            top = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-            a, b = np.repeat(rows, take), m[top.ravel()]
-            out[0].append(entry[a])
-            out[1].append(entry[b])
-            out[2].append((vectors[a] * vectors[b]).cumsum(1)[:, -1])
+            room = 1e-12 * vectors.shape[1] * np.abs(vectors[rows]).max(1) * np.abs(vectors[m]).max()
+            least = np.partition(scores, len(m) - take, axis=1)[:, len(m) - take] - room
+            a, b = np.nonzero(scores >= least[:, None])
+            exact = (vectors[rows[a]] * vectors[m[b]]).cumsum(1)[:, -1]
+            order = np.lexsort((first[m[b]], -exact, a))
+            a, b, exact = a[order], b[order], exact[order]
+            place = np.arange(len(a)) - np.searchsorted(a, a)
+            a, b, exact = a[place < take], b[place < take], exact[place < take]
+            out[0].append(entry[rows[a]])
+            out[1].append(entry[m[b]])
+            out[2].append(exact)
         return pa.table({"query": np.concatenate(out[0]), "entry": np.concatenate(out[1]), "score": np.concatenate(out[2])})
 
     return run
@@ -208,10 +218,11 @@ def nearest(
                     pa.array(at.ravel()),
                     pa.array(entry.to_numpy() % blocks),
                     entry,
+                    batch["first"].take(index),
                     batch["vector"].take(index),
                     pa.array(np.zeros(len(index), bool)),
                 ],
-                names=["leaf", "block", "entry", "vector", "asks"],
+                names=["leaf", "block", "entry", "first", "vector", "asks"],
             )
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,13 +235,16 @@ def nearest(
                     pa.array(seen),
                     pa.array(np.tile(np.arange(blocks), len(seen) // blocks)),
                     batch["entry"].take(index),
+                    batch["first"].take(index),
                     batch["vector"].take(index),
                     pa.array(np.ones(len(index), bool)),
                 ],
-                names=["leaf", "block", "entry", "vector", "asks"],
+                names=["leaf", "block", "entry", "first", "vector", "asks"],
             )
 
-    schema = "leaf bigint, block bigint, entry bigint, vector array<float>, asks boolean"
+    # vectors travel in their own type; scores are those of the original numbers
+    kind = "array<float>" if entries.schema["vector"].dataType.elementType.typeName() == "float" else "array<double>"
+    schema = f"leaf bigint, block bigint, entry bigint, first bigint, vector {kind}, asks boolean"
     to_ask = stage(
         rows.where("asks")
         .select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
@@ -241,7 +255,7 @@ def nearest(
     )
     asking = entries.join(to_ask.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi")
     sides = [
-        e.select("entry", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(f, schema)
+        e.select("entry", F.col("ids")[0].alias("first"), F.col("vector").cast(kind).alias("vector")).mapInArrow(f, schema)
         for e, f in ((entries, placed), (asking, asked))
     ]
     found = sides[0].unionByName(sides[1]).groupBy("leaf", "block")
