@@ -119,3 +119,17 @@ def test_fused_checks_scan_once(spark, tmp_path):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert [r["failures"] for r in report.orderBy("check", "column").collect()] == [5, 0, 0, 7]
+
+
+def test_panels_from_one_scan(spark):
+    from tidewatch.plans import monitor
+    from tidewatch.registry.common import Domain
+
+    live = Domain(spark, SF).live()
+    rows = monitor.panel_rows(live)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == live._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    rows = staged(rows, "panels")
+    single = monitor.live_seismic_monitor(live)
+    for name in monitor.PANELS:
+        assert value_set(monitor.panel(rows, name)) == value_set(single[name]), name

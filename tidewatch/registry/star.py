@@ -255,3 +255,46 @@ def m20_voyages(spark, sf_dir):
     inc.vessels(rows.filter(F.coalesce(~late, F.lit(True))))
     inc.vessels(rows.withColumn("_INGESTED_AT", second))
     return inc.read("fact_vessel_voyage")
+
+
+_KEPT_LIVE = "FROM x_live WHERE coalesce(__deleted, '') <> 'true'"
+_NO = {"category": "CAST(NULL AS VARCHAR)", "day": "CAST(NULL AS VARCHAR)", "latitude": "CAST(NULL AS DOUBLE)",
+       "longitude": "CAST(NULL AS DOUBLE)", "magnitude": "CAST(NULL AS DOUBLE)", "title": "CAST(NULL AS VARCHAR)", "n": "CAST(1 AS BIGINT)"}
+
+
+def _panel_sql(name: str, rest: str, **columns: str) -> str:
+    return f"SELECT '{name}' AS panel, " + ", ".join(f"{columns.get(c, e)} AS {c}" for c, e in _NO.items()) + f" {_KEPT_LIVE} {rest}"
+
+
+_POINT = {"latitude": "lat", "longitude": "lon", "magnitude": "mag", "title": "flynn_region"}
+
+
+@query(
+    "m19_panels",
+    " UNION ALL ".join([
+        _panel_sql("map", "AND lat IS NOT NULL AND lon IS NOT NULL", **_POINT),
+        _panel_sql("alerts", "AND lat IS NOT NULL AND lon IS NOT NULL AND mag >= 5.5", **_POINT),
+        _panel_sql("magnitude_series", "AND time IS NOT NULL", day="substr(time, 1, 10)", magnitude="mag"),
+        _panel_sql("intensity_histogram", "AND mag IS NOT NULL GROUP BY 2", n="count(*)",
+                   category="CASE WHEN mag < 2 THEN 'Minor (<2)' WHEN mag < 4 THEN 'Light (2-4)' WHEN mag < 6 THEN 'Moderate (4-6)' ELSE 'Strong (6+)' END"),
+        _panel_sql("events_per_day", "AND time IS NOT NULL GROUP BY 3", n="count(*)", day="substr(time, 1, 10)"),
+    ]),
+)
+def m19_panels(spark, sf_dir):
+    """Five panels by value from one scan of the live table."""
+    rows = staged(monitor.panel_rows(Domain(spark, sf_dir).live()), "panels")
+    out = None
+    for name in monitor.PANELS:
+        p = monitor.panel(rows, name)
+        part = p
+        if name == "magnitude_series":
+            part = p.withColumn("day", F.date_format("time", "yyyy-MM-dd"))
+        elif name == "events_per_day":
+            part = p.select(F.date_format("day", "yyyy-MM-dd").alias("day"), C("earthquakes").alias("n"))
+        elif name == "intensity_histogram":
+            part = p.select("category", C("count").alias("n"))
+        none = {"category": "string", "day": "string", "latitude": "double", "longitude": "double", "magnitude": "double", "title": "string"}
+        cells = [(C(c) if c in part.columns else F.lit(None)).cast(t).alias(c) for c, t in none.items()]
+        part = part.select(F.lit(name).alias("panel"), *cells, (C("n") if "n" in part.columns else F.lit(1)).cast("bigint").alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
