@@ -596,3 +596,17 @@ def test_rows_in_quarantine(spark, tmp_path):
     none = writers.split_quarantine(bad.drop("type"), str(tmp_path / "r"), C("name").isNotNull())
     assert (none.ok, none.message) == (False, "every name is NULL")
     assert writers.split_quarantine(good.drop("type"), str(tmp_path / "s"), F.lit(None).cast("boolean")).message.startswith("missing columns")
+
+
+def test_scratch_folders_can_be_removed(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from tidewatch import session
+
+    monkeypatch.setattr(session, "_made", {})
+    kept = writers.staged(spark.range(5), "keep")
+    assert kept.count() == 5
+    (path,) = session._made[spark.sparkContext.applicationId]
+    assert Path(path).exists()
+    assert session.remove_scratch(spark) == 1 and not Path(path).exists()
+    assert session.remove_scratch(spark) == 0

@@ -184,6 +184,14 @@ def m19(spark, sf_dir):
     return out
 
 
+@query("m18_from_stored_tables", replaced("r_out", "RUN_DATE"))
+def m18_stored(spark, sf_dir):
+    """The same from the stored gold tables, all pairs of events and ports among them."""
+    d = Domain(spark, sf_dir)
+    stored = [staged(df, "gold") for df in (d.gold_vessels(), d.gold_ports(), d.facilities(), d.proximity(), d.gold_events())]
+    return recommend.port_recommendations(*stored, A.AS_OF)
+
+
 _LATEST = (
     "SELECT unid, mag, source_id FROM (SELECT *, row_number() OVER (PARTITION BY unid ORDER BY lastupdate DESC,"
     " source_id DESC) AS n FROM x_live WHERE coalesce(__deleted, '') <> 'true') WHERE n = 1"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -53,10 +55,28 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidewatch-")
+        root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidewatch-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return _local_roots[context.applicationId]
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new, never reused folder name below the shared root."""
-    return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_made: dict[str, list[str]] = {}  # application id -> folders named by scratch()
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this application has made so far; how many there were.
+
+    For the end of a job, when the results that read them are written. A local master's own folder goes when Python ends.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return len(paths)
