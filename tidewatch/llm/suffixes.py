@@ -17,6 +17,7 @@ as differences, about four bytes each: a suffix whose seed occurs in no other do
 ``seed`` bytes meet in one part, and every window is judged there, byte by byte.
 
 Texts are dealt out once, compressed, to homes of some megabytes; a home makes one run.
+There is at most one row per home and part, and never more of them than suffixes.
 Suffixes that are equal within a home, bytes before them included, are settled
 there: the smallest document's goes out for all. A passage that a third of all
 documents share sends one suffix per home.
@@ -221,6 +222,13 @@ def ref_part(doc: np.ndarray, tag: np.ndarray, parts: int) -> np.ndarray:
     return (h % np.uint64(parts)).astype(np.int64)
 
 
+def cuts_of(part: np.ndarray, wanted: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """(part, begin, end) of the parts that occur in sorted numbers, or of those ``wanted``; parts without rows cost nothing."""
+    found = np.unique(part) if wanted is None else wanted
+    ends = np.searchsorted(part, found, "right")
+    return list(zip(found.tolist(), np.searchsorted(part, found).tolist(), ends.tolist(), strict=True))
+
+
 class Texts:
     """Documents held until they are dealt out: their bytes with one byte between them, ids and tags."""
 
@@ -284,16 +292,14 @@ def asker(parts: int, width: int, seed: int):
         last = np.append(first[1:], len(order)) - 1 if len(first) else first
         several = home.owner[order[first]] != home.owner[order[last]]
         keys, part = home.key[order[first]], home.part[order[first]]
-        cuts = np.searchsorted(part, np.arange(parts + 1))
-        full = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+        cuts = cuts_of(part)
         bodies = [
-            squeezed(planes({"step": np.diff(keys[cuts[p] : cuts[p + 1]], prepend=np.uint64(0)), "several": several[cuts[p] : cuts[p + 1]]}, ASK_KINDS))
-            for p in full
+            squeezed(planes({"step": np.diff(keys[a:b], prepend=np.uint64(0)), "several": several[a:b]}, ASK_KINDS)) for _, a, b in cuts
         ]
         return pa.table({
-            "part": pa.array(full, pa.int32()),
-            "home": pa.array([key[0].as_py()] * len(full), pa.int32()),
-            "n": pa.array([int(cuts[p + 1] - cuts[p]) for p in full], pa.int32()),
+            "part": pa.array([p for p, _, _ in cuts], pa.int32()),
+            "home": pa.array([key[0].as_py()] * len(cuts), pa.int32()),
+            "n": pa.array([b - a for _, a, b in cuts], pa.int32()),
             "body": pa.array(bodies, pa.binary()),
         })
 
@@ -342,13 +348,9 @@ def runs_of(home: Home, parts: int, width: int) -> Iterator[tuple]:
     # what stays between two kept suffixes shares all their bytes with the first one
     keep = np.flatnonzero(~settled & ~again)
     order, lcp = order[keep], lcp[keep]
-    part, cuts = part[order], np.searchsorted(part[order], np.arange(parts + 1))
-    by = np.argsort(span_part, kind="stable")
-    span_cuts = np.searchsorted(span_part[by], np.arange(parts + 1))
-    for p in range(parts):
-        a, b, c, d = cuts[p], cuts[p + 1], span_cuts[p], span_cuts[p + 1]
-        if a == b and c == d:
-            continue
+    part, by = part[order], np.argsort(span_part, kind="stable")
+    both = np.union1d(part, span_part)
+    for (p, a, b), (_, c, d) in zip(cuts_of(part, both), cuts_of(span_part[by], both), strict=True):
         rows, shared = order[a:b], lcp[a:b]
         own = owner[rows]
         body = planes({"lcp": shared, "right": right[rows], "left": left[rows], "doc": doc[own], "none": none[own],
@@ -356,7 +358,7 @@ def runs_of(home: Home, parts: int, width: int) -> Iterator[tuple]:
         body += planes({k: v[by[c:d]] for k, v in spans.items()}, SPAN_KINDS)
         body += ragged(data, place[rows] - left[rows], left[rows])
         body += ragged(data, place[rows] + shared, right[rows] - shared)
-        yield p, int(b - a), int(d - c), squeezed(body)
+        yield p, b - a, d - c, squeezed(body)
 
 
 def run_writer(parts: int, width: int, seed: int):
@@ -535,12 +537,11 @@ def merger(parts: int, width: int, seed: int):
         spans = {k: np.concatenate([np.array(mine[k], kind), *[r.spans[k] for r in runs]]) for k, kind in SPAN_KINDS.items()}
         home = ref_part(spans["doc"], spans["tag"], parts)
         by = np.argsort(home, kind="stable")
-        cuts = np.searchsorted(home[by], np.arange(parts + 1))
-        full = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
-        bodies = [squeezed(planes({k: v[by[cuts[p] : cuts[p + 1]]] for k, v in spans.items()}, SPAN_KINDS)) for p in full]
+        cuts = cuts_of(home[by])
+        bodies = [squeezed(planes({k: v[by[a:b]] for k, v in spans.items()}, SPAN_KINDS)) for _, a, b in cuts]
         return pa.table({
-            "home": pa.array(full, pa.int32()),
-            "m": pa.array([int(cuts[p + 1] - cuts[p]) for p in full], pa.int32()),
+            "home": pa.array([p for p, _, _ in cuts], pa.int32()),
+            "m": pa.array([b - a for _, a, b in cuts], pa.int32()),
             "body": pa.array(bodies, pa.binary()),
         })
 
@@ -562,15 +563,13 @@ def text_writer(parts: int):
             data, starts, lens, doc, none, tag = held.arrays()
             home = ref_part(doc, tag, parts)
             by = np.argsort(home, kind="stable")
-            cuts = np.searchsorted(home[by], np.arange(parts + 1))
-            for p in range(parts):
-                rows = by[cuts[p] : cuts[p + 1]]
-                if len(rows):
-                    body = planes({"doc": doc[rows], "none": none[rows], "tag": tag[rows], "len": lens[rows]}, TEXT_KINDS)
-                    body = squeezed(body + ragged(data, starts[rows], lens[rows] + 1))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p], pa.int32()), pa.array([len(rows)], pa.int32()), pa.array([body], pa.binary())], names=["home", "m", "body"]
-                    )
+            for p, a, b in cuts_of(home[by]):
+                rows = by[a:b]
+                body = planes({"doc": doc[rows], "none": none[rows], "tag": tag[rows], "len": lens[rows]}, TEXT_KINDS)
+                body = squeezed(body + ragged(data, starts[rows], lens[rows] + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p], pa.int32()), pa.array([len(rows)], pa.int32()), pa.array([body], pa.binary())], names=["home", "m", "body"]
+                )
 
         for batch in batches:
             for i, t in zip(batch["doc_id"], batch["text"], strict=True):
