@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from tidewatch.llm import quality_rules as Q
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
