@@ -2,7 +2,8 @@ import random
 from collections import defaultdict
 
 import numpy as np
-from tidewatch.llm.near_duplicates import classes, dart_signatures, without_near_duplicates
+import pytest
+from tidewatch.llm.near_duplicates import classes, dart_signatures, prefix_pairs, without_near_duplicates
 
 
 def plain(rows, threshold=0.8):
@@ -117,3 +118,44 @@ def test_many_repeats_of_two_near_texts(spark):
     docs = spark.createDataFrame(rows * 3_000, "doc_id bigint, text string").repartition(6)
     got = classes(docs).groupBy("class_id").agg({"*": "count", "class_texts": "max"}).collect()
     assert {(x["class_id"], x["count(1)"], x["max(class_texts)"]) for x in got} == {(5, 9_000, 2), (6, 3_000, 1)}
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_prefix_pairs_lose_nothing(spark, weighted):
+    """All pairs of different components at the threshold or above are found, those exactly at it too."""
+    r = random.Random(9)
+    rows = []
+    for node in range(240):
+        base = random.Random(node % 12)
+        words = [base.randrange(1, 90) for _ in range(40)]
+        for _ in range(r.randrange(6)):
+            words[r.randrange(40)] = r.randrange(1, 90)
+        times = defaultdict(int)
+        for w in words[: r.randrange(5, 41)] if node % 3 else words:
+            times[w] += 1
+        rows.append((node, node % 7 if node % 2 else node, sorted(times), [times[w] for w in sorted(times)]))
+    rows += [(300, 300, [1, 2, 3, 4], [1] * 4), (301, 301, [1, 2, 3, 4, 5], [1] * 5)]  # 4 of 5
+    sets = spark.createDataFrame(rows, "node bigint, comp bigint, shingles array<bigint>, times array<bigint>")
+    got = [(x["a"], x["b"]) for x in prefix_pairs(sets, 0.8, weighted).collect()]
+    assert len(got) == len(set(got))
+    bags = {n: dict(zip(s, t if weighted else [1] * len(s), strict=True)) for n, _, s, t in rows}
+    comp = {n: c for n, c, _, _ in rows}
+    want = set()
+    for a in bags:
+        for b in bags:
+            if a < b and comp[a] != comp[b]:
+                common = sum(min(k, bags[b].get(s, 0)) for s, k in bags[a].items())
+                if 5 * common >= 4 * (sum(bags[a].values()) + sum(bags[b].values()) - common):
+                    want.add((a, b))
+    assert len(want) > 50 and want <= set(got)
+    assert all(comp[a] != comp[b] for a, b in got)
+
+
+def test_common_passage_gives_no_pairs(spark):
+    """What many texts share below the threshold costs no comparison, and a large component isn't compared with itself."""
+    shared = list(range(70))
+    rows = [(k, k, [*shared, *range(10_000 * (k + 1), 10_000 * (k + 1) + 30)]) for k in range(600)]
+    rows += [(k, 1000, [*range(-99, 0), k]) for k in range(1000, 1600)] + [(2000, 2000, [*range(-99, 0), 1000])]
+    sets = spark.createDataFrame([(*x, [1] * 100) for x in rows], "node bigint, comp bigint, shingles array<bigint>, times array<bigint>")
+    got = {(x["a"], x["b"]) for x in prefix_pairs(sets, 0.8, False).collect()}
+    assert (1000, 2000) in got and got <= {(k, 2000) for k in range(1000, 1600)}

@@ -28,8 +28,6 @@ THRESHOLD = 0.8
 ROWS, BANDS = 5, 25
 #: Bytes of text worked on at once in a task.
 BLOCK_BYTES = 4 << 20
-#: Members of a bucket in one tile of the last step.
-TILE = 500
 
 
 def shingles(texts: list[bytes], width: int = SHINGLE):
@@ -148,11 +146,10 @@ def signer(rows: int, bands: int, width: int, weighted: bool, carried: list[str]
                         pa.array(digests, pa.binary()),
                         pa.array(sizes.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())),
-                        pa.array([x.tobytes() for x in (s >> np.uint64(56)).astype(np.uint8)], pa.binary()),
                         pa.array(words.astype(np.int64)),
                         *[part[c] for c in carried],
                     ],
-                    names=["doc_id", "raw", "digest", "n_shingles", "bands", "sketch", "words", *carried],
+                    names=["doc_id", "raw", "digest", "n_shingles", "bands", "words", *carried],
                 )
 
     return run
@@ -218,8 +215,9 @@ def classes(
     uid numbers the rows, words is the number of a text's words. Other columns are not read.
 
     Copies are one node each. In each band bucket every node is compared with
-    the bucket's first one; what then still lies in different components of
-    the same bucket is compared in tiles. All decisions rest on exact similarity.
+    the bucket's first one; for what then still lies in different components of
+    the same bucket an exact prefix filter finds the pairs to compare (:func:`prefix_pairs`).
+    All decisions rest on exact similarity.
     """
     small_batches(docs.sparkSession)
     d = docs.select(
@@ -231,14 +229,14 @@ def classes(
     carried = [f.name for f in d.schema if f.name == "carried"]
     signed = d.mapInArrow(
         signer(rows, bands, width, weighted, carried),
-        "doc_id bigint, raw string, digest binary, n_shingles bigint, bands array<bigint>, sketch binary, words bigint"
+        "doc_id bigint, raw string, digest binary, n_shingles bigint, bands array<bigint>, words bigint"
         + "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in carried),
     )
     signed = stage(signed.withColumn("uid", F.monotonically_increasing_id()), "darts")
     first = F.row_number().over(W.partitionBy("digest").orderBy(F.col("doc_id").asc_nulls_last(), "raw", "uid"))
     nodes = signed.drop("words", *carried).withColumn("nr", first).where("nr = 1").drop("nr")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "texts")
-    banded = nodes.select("node", F.posexplode("bands").alias("no", "band"))
+    banded = nodes.select("node", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = stage(banded.join(hubs.drop("size"), "band"), "buckets")
     # per node and hub, in how many buckets they meet
@@ -294,17 +292,12 @@ def classes(
     # buckets whose members still are in several components
     c = comp.select(F.col("node").alias("n_"), "comp")
     open_ = members.join(c, F.col("node") == F.col("n_"), "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = stage(open_.select("band", "no", "node", "comp"), "open")
+    open_ = stage(open_.select("band", "node", "comp"), "open")
     split = open_.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-    split = split.where("lo <> hi and size > 2").select("band", "size")
-    tiles = open_.join(split, "band").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int"))
-    tiles = tiles.join(nodes.select("node", "sketch", "bands"), "node").join(sets, "node")
-    tiles = tiles.withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiles = tiles.withColumn("x", F.least("tile", "other")).withColumn("y", F.greatest("tile", "other"))
-    tiles = tiles.drop("size", "tiles", "other")
-    found = tiles.groupBy("band", "x", "y").applyInArrow(tile_links(threshold, rows, bands, weighted), "a bigint, b bigint")
-    links = links.unionByName(stage(found.select(*order("a", "b")).distinct(), "links-3"))
+    split = split.where("lo <> hi and size > 2").select("band")
+    pool = open_.join(split, "band", "left_semi").select("node", "comp").distinct()
+    found = stage(prefix_pairs(sets.join(pool, "node"), threshold, weighted), "prefix-pairs")
+    links = links.unionByName(stage(similar(found), "links-3"))
     comp = components(links)
 
     c = comp.select(F.col("node").alias("n_"), "comp")
@@ -327,47 +320,46 @@ def classes(
     )
 
 
-def tile_links(threshold: float, rows: int, bands: int, weighted: bool):
-    """Links (a, b) that join what still is apart within a pair of tiles of one bucket; at most one less than its members.
+def prefix_pairs(sets: DataFrame, threshold: float, weighted: bool) -> DataFrame:
+    """Pairs (a, b) of different components that may reach the threshold, from sets (node, comp, shingles, times); none that does is left out.
 
-    Pairs are compared in the first bucket they share. Those whose sketches agree
-    far less often than the threshold asks are left out: four standard deviations are
-    allowed for, so a pair at the threshold is missed with probability below 1e-4,
-    and only if no other link joins its components. The others are compared exactly.
+    Two sets as similar as the threshold have at least that share of either in
+    common. So only shingles found in several components count, a set of which too
+    few count is done, and of the others each is listed under its rarest ones,
+    up to the one from which on too little is left: similar sets have the first of
+    their common shingles in both lists. What many texts share is in none as long as it is less
+    than the threshold asks for. Shingles that lists of one component only hold are dropped,
+    and members of the component that holds most of a shingle's lists aren't compared with each other.
     """
-    k = rows * bands
-    least = (threshold - 4 * np.sqrt(threshold * (1 - threshold) / k)) * k
-
-    def run(key, t):
-        node, comp, tile = (t[c].to_numpy() for c in ("node", "comp", "tile"))
-        no, x, y = t["no"][0].as_py(), key[1].as_py(), key[2].as_py()
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), k)
-        banded = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), bands)
-        lists = t["shingles"].combine_chunks()
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        times = t["times"].combine_chunks().values.to_numpy()
-        group = np.unique(comp, return_inverse=True)[1]
-        size = lambda i: times[ends[i] : ends[i + 1]].sum() if weighted else ends[i + 1] - ends[i]
-        left, right = np.flatnonzero(tile == x), np.flatnonzero(tile == y)
-        a, b = [], []
-        for i in left:
-            near = right[(group[right] != group[i]) & ((x != y) | (right > i))]
-            near = near[(sketch[near] == sketch[i]).sum(1) >= least]
-            near = near[(banded[near] == banded[i]).argmax(1) == no]
-            for j in near:
-                if group[i] == group[j]:
-                    continue
-                _, p, q = np.intersect1d(
-                    flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]], assume_unique=True, return_indices=True
-                )
-                common = np.minimum(times[ends[i] + p], times[ends[j] + q]).sum() if weighted else len(p)
-                if common >= threshold * (size(i) + size(j) - common):
-                    a.append(node[i])
-                    b.append(node[j])
-                    group[group == group[j]] = group[i]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
+    t, room = F.lit(threshold), F.lit(1e-6)  # for rounding
+    sizes = sets.withColumn("total", F.size("shingles").cast("bigint"))
+    if weighted:
+        sizes = sizes.withColumn("total", F.aggregate("times", F.lit(0).cast("bigint"), lambda x, y: x + y))
+    if weighted:
+        listed = sizes.select("node", "comp", "total", F.explode(F.arrays_zip("shingles", "times")).alias("s"))
+        listed = listed.select("node", "comp", "total", F.col("s.shingles").alias("shingle"), F.col("s.times").alias("n"))
+    else:
+        listed = sizes.select("node", "comp", "total", F.explode("shingles").alias("shingle"), F.lit(1).cast("bigint").alias("n"))
+
+    def across(rows: DataFrame) -> DataFrame:
+        """Shingles of several components: how many texts have them, the component with most of these."""
+        per = rows.groupBy("shingle", "comp").agg(F.count("*").alias("texts"))
+        most = F.max(F.struct("texts", "comp"))
+        per = per.groupBy("shingle").agg(F.sum("texts").alias("texts"), most["comp"].alias("most"), F.count("*").alias("comps"))
+        return per.where("comps > 1").select("shingle", "texts", "most")
+
+    shared = listed.join(across(listed).drop("most"), "shingle")
+    rest = F.sum("n").over(W.partitionBy("node").orderBy(F.col("texts").desc(), F.col("shingle").desc()))
+    lists = shared.withColumn("rest", rest).where(F.col("rest") >= t * F.col("total") - room)
+    lists = stage(lists.select("shingle", "node", "comp", "total", "rest"), "prefixes")
+    lists = stage(lists.join(across(lists).select("shingle", "most"), "shingle"), "lists")
+    left = lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "total", "rest", "most")])
+    right = lists.where("comp <> most").select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "total", "rest")])
+    apart = (F.col("comp_a") == F.col("most_a")) | (F.col("comp_a") < F.col("comp_b"))
+    # common >= threshold * (total_a + total_b - common), and what is common lies in both rests
+    enough = F.least("rest_a", "rest_b") * (1 + t) >= t * (F.col("total_a") + F.col("total_b")) - room
+    pairs = left.join(right, "shingle").where(apart & (F.col("comp_a") != F.col("comp_b")) & enough)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
