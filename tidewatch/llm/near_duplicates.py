@@ -286,8 +286,10 @@ def classes(
         return f.where("c_a <> c_b").select("a", "b")
 
     rest = apart(pairs.where("choice > 1").select(*order("node", "hub")).distinct())
-    links = links.unionByName(stage(similar(rest), "links-2"))
-    comp = components(links)
+    more = stage(similar(rest), "links-2")
+    if more.limit(1).count():
+        links = links.unionByName(more)
+        comp = components(links)
 
     # buckets whose members still are in several components
     c = comp.select(F.col("node").alias("n_"), "comp")
@@ -297,8 +299,9 @@ def classes(
     split = split.where("lo <> hi and size > 2").select("band")
     pool = open_.join(split, "band", "left_semi").select("node", "comp").distinct()
     found = stage(prefix_pairs(sets.join(pool, "node"), threshold, weighted), "prefix-pairs")
-    links = links.unionByName(stage(similar(found), "links-3"))
-    comp = components(links)
+    more = stage(similar(found), "links-3")
+    if more.limit(1).count():
+        comp = components(links.unionByName(more))
 
     c = comp.select(F.col("node").alias("n_"), "comp")
     placed = nodes.join(c, F.col("node") == F.col("n_"), "left").select(
@@ -341,18 +344,15 @@ def prefix_pairs(sets: DataFrame, threshold: float, weighted: bool) -> DataFrame
     else:
         listed = sizes.select("node", "comp", "total", F.explode("shingles").alias("shingle"), F.lit(1).cast("bigint").alias("n"))
 
-    def across(rows: DataFrame) -> DataFrame:
-        """Shingles of several components: how many texts have them, the component with most of these."""
-        per = rows.groupBy("shingle", "comp").agg(F.count("*").alias("texts"))
-        most = F.max(F.struct("texts", "comp"))
-        per = per.groupBy("shingle").agg(F.sum("texts").alias("texts"), most["comp"].alias("most"), F.count("*").alias("comps"))
-        return per.where("comps > 1").select("shingle", "texts", "most")
-
-    shared = listed.join(across(listed).drop("most"), "shingle")
+    texts = F.count("*").alias("texts")
+    often = listed.groupBy("shingle").agg(texts, F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    shared = listed.join(often.where("lo <> hi").select("shingle", "texts"), "shingle")
     rest = F.sum("n").over(W.partitionBy("node").orderBy(F.col("texts").desc(), F.col("shingle").desc()))
     lists = shared.withColumn("rest", rest).where(F.col("rest") >= t * F.col("total") - room)
     lists = stage(lists.select("shingle", "node", "comp", "total", "rest"), "prefixes")
-    lists = stage(lists.join(across(lists).select("shingle", "most"), "shingle"), "lists")
+    most = lists.groupBy("shingle", "comp").agg(texts).groupBy("shingle")
+    most = most.agg(F.max_by("comp", F.struct("texts", "comp")).alias("most"), F.count("*").alias("comps"))
+    lists = stage(lists.join(most.where("comps > 1").drop("comps"), "shingle"), "lists")
     left = lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "total", "rest", "most")])
     right = lists.where("comp <> most").select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "total", "rest")])
     apart = (F.col("comp_a") == F.col("most_a")) | (F.col("comp_a") < F.col("comp_b"))
