@@ -167,3 +167,23 @@ def test_aliases(spark):
     assert [x for x in got if x[0] == "Alger (Algiers)"] == [("Alger (Algiers)", "Algiers")] * 2
     assert ("Suez", None) in got and (None, None) in got
     assert joins.map_alias(vessels, seed, dedup_aliases=True).count() == 4
+
+
+def test_keys_are_looked_up_before_pairing(spark, monkeypatch):
+    monkeypatch.setattr(joins, "KEY_LIST", 2)
+    events = spark.createDataFrame([("e1", 0.0, 0.0), ("e2", 0.5, 0.5), (None, 0.0, 0.1), ("e4", 50.0, 50.0)],
+                                   "EVENT_ID string, LATITUDE double, LONGITUDE double")
+    ports = spark.createDataFrame([(1, " a", 0.1, 0.1), (2, "A ", 0.2, 0.2), (3, None, 0.3, 0.3), (4, "b", 0.4, 0.4), (5, "c", -50.0, 0.0)],
+                                  "p int, PORT_NAME string, PORT_LATITUDE double, PORT_LONGITUDE double")
+    event_dim = spark.createDataFrame([("e1", "k1"), ("e4", "k4"), (None, "k0")], "EVENT_ID string, SEISMIC_EVENT_SK string")
+    # one name has more ports than a list, one key is NULL, one name is unknown
+    named = [("A", "s1"), ("a", "s2"), ("a ", "s3"), ("A", None), (None, "s4"), ("c", "s5"), ("C", "s5")]
+    port_dim = spark.createDataFrame(named, "MAIN_PORT_NAME string, PORT_SK string")
+    keyed = joins.lookup_sk(events, ports, event_dim, port_dim, lambda e, p: proximity_join(e, p, hint="merge"))
+    got = rows(keyed.select("EVENT_ID", "p", "SEISMIC_EVENT_SK", "PORT_SK"))
+    sks = {1: ["s1", "s2", "s3", None], 2: ["s1", "s2", "s3", None], 3: [None], 4: [None]}
+    expected = [(e, p, {"e1": "k1"}.get(e), s) for e in ("e1", "e2", None) for p in sks for s in sks[p]]
+    assert got == sorted(tuple(map(str, r)) for r in expected)
+    # nothing is shuffled or sorted once there are pairs
+    above = keyed._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin [_cell")[0]
+    assert "Exchange" not in above and "Sort [" not in above and "Join" not in above
