@@ -151,6 +151,25 @@ def test_prefix_pairs_lose_nothing(spark, weighted):
     assert all(comp[a] != comp[b] for a, b in got)
 
 
+def test_a_large_family_leaves_few_pairs_to_the_filter(spark, monkeypatch):
+    """Members that a family's first text misses find it by their neighbours, before all pairs of components are listed."""
+    from tidewatch.llm import near_duplicates
+
+    listed = []
+
+    def counting(*args):
+        found = prefix_pairs(*args)
+        listed.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_duplicates, "prefix_pairs", counting)
+    r = random.Random(4)
+    base = [f"w{k}" for k in range(150)]
+    docs = [(k, edited(base, r.choice([1, 2, 3, 4]), r)) for k in range(400)]
+    check(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert listed[0] < 12_000  # 21,213 without the neighbours, 9,173 with them
+
+
 def test_common_passage_gives_no_pairs(spark):
     """What many texts share below the threshold costs no comparison, and a large component isn't compared with itself."""
     shared = list(range(70))

@@ -214,8 +214,9 @@ def classes(
     matter, but ``kept`` is set on one of them only. class_no is one number per class, never null;
     uid numbers the rows, words is the number of a text's words. Other columns are not read.
 
-    Copies are one node each. In each band bucket every node is compared with
-    the bucket's first one; for what then still lies in different components of
+    Copies are one node each. Every node is compared with the first one of a band bucket, the
+    one it meets most often; in buckets that still hold several components, with the next in an order
+    that puts like signatures together (:func:`next_in_bucket`); for what then still lies in different components of
     the same bucket an exact prefix filter finds the pairs to compare (:func:`prefix_pairs`).
     All decisions rest on exact similarity.
     """
@@ -278,26 +279,23 @@ def classes(
     links = stage(similar(pairs.where("choice = 1").select(*order("node", "hub")).distinct()), "links-1")
     comp = components(links)
 
-    def apart(found: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose components differ."""
+    def labelled(rows: DataFrame) -> DataFrame:
+        """(band, node) with the component so far, of buckets whose members are in several."""
         c = comp.select(F.col("node").alias("n_"), "comp")
-        f = found.join(c, F.col("a") == F.col("n_"), "left").withColumn("c_a", F.coalesce("comp", "a")).drop("n_", "comp")
-        f = f.join(c, F.col("b") == F.col("n_"), "left").withColumn("c_b", F.coalesce("comp", "b")).drop("n_", "comp")
-        return f.where("c_a <> c_b").select("a", "b")
+        rows = rows.join(c, F.col("node") == F.col("n_"), "left").withColumn("comp", F.coalesce("comp", "node"))
+        rows = stage(rows.select("band", "node", "comp"), "open")
+        split = rows.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+        return rows.join(split.where("lo <> hi").select("band", "size"), "band")
 
-    rest = apart(pairs.where("choice > 1").select(*order("node", "hub")).distinct())
-    more = stage(similar(rest), "links-2")
+    open_ = labelled(members)
+    more = stage(similar(next_in_bucket(open_, nodes)), "links-2")
     if more.limit(1).count():
         links = links.unionByName(more)
         comp = components(links)
+        open_ = labelled(open_.select("band", "node"))
 
-    # buckets whose members still are in several components
-    c = comp.select(F.col("node").alias("n_"), "comp")
-    open_ = members.join(c, F.col("node") == F.col("n_"), "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ = stage(open_.select("band", "node", "comp"), "open")
-    split = open_.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-    split = split.where("lo <> hi and size > 2").select("band")
-    pool = open_.join(split, "band", "left_semi").select("node", "comp").distinct()
+    # the two of a bucket of two have been compared
+    pool = open_.where("size > 2").select("node", "comp").distinct()
     found = stage(prefix_pairs(sets.join(pool, "node"), threshold, weighted), "prefix-pairs")
     more = stage(similar(found), "links-3")
     if more.limit(1).count():
@@ -323,6 +321,20 @@ def classes(
     )
 
 
+def next_in_bucket(open_: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that follow each other in a bucket of ``open_`` (band, node, comp).
+
+    A bucket is ordered by the two bands behind its own, so texts that share them too are neighbours. There are no more
+    pairs than rows, and a member that is similar to many of a family mostly finds one of them here.
+    """
+    at = F.array_position("bands", F.col("band"))
+    behind = [F.element_at("bands", ((at + i) % F.size("bands") + 1).cast("int")).alias(f"behind_{i}") for i in (0, 1)]
+    rows = open_.join(nodes.select("node", "bands"), "node").select("band", "node", "comp", *behind)
+    order = W.partitionBy("band").orderBy("behind_0", "behind_1", "node")
+    before = rows.withColumn("b_", F.lag("node").over(order)).withColumn("c_", F.lag("comp").over(order)).where("comp <> c_")
+    return before.select(F.least("node", "b_").alias("a"), F.greatest("node", "b_").alias("b")).distinct()
+
+
 def prefix_pairs(sets: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     """Pairs (a, b) of different components that may reach the threshold, from sets (node, comp, shingles, times); none that does is left out.
 
