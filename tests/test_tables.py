@@ -610,3 +610,20 @@ def test_scratch_folders_can_be_removed(spark, tmp_path, monkeypatch):
     assert Path(path).exists()
     assert session.remove_scratch(spark) == 1 and not Path(path).exists()
     assert session.remove_scratch(spark) == 0
+
+
+def test_a_merge_leaves_only_its_table_behind(spark, tmp_path, monkeypatch):
+    """What a merge stages is gone when it is committed, and files are stored with zstd; a delta that isn't spread stays where it was made."""
+    from tidewatch.sources import keyed
+
+    monkeypatch.setattr(keyed, "COMPACT_SHARE", 9)
+    rows_ = lambda n, v: spark.range(0, n, 1, 3).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit(1).alias("j"), F.lit(v).alias("v"))
+    table = KeyedTable(spark, str(tmp_path / "t"), rows_(1, 1).schema, ["k", "j"], 2)
+    for n, spread in ((3_000, True), (300, False), (30, True)):
+        table.merge(rows_(n, n), lambda held, rows: rows, spread=spread)
+        assert table._children(f"{table.root}/staged") == []
+    assert {r["v"]: r["count"] for r in table.read().groupBy("v").count().collect()} == {3_000: 2_700, 300: 270, 30: 30}
+    files = [p for p in (tmp_path / "t").rglob("*.parquet")]
+    assert files and all("zstd" in p.name for p in files)
+    (unspread,) = [d for d in table._manifest()["deltas"] if d["path"] == "delta/v-1-0"]
+    assert len([p for p in (tmp_path / "t" / unspread["path"]).glob("*.parquet")]) == 3
