@@ -627,3 +627,41 @@ def test_a_merge_leaves_only_its_table_behind(spark, tmp_path, monkeypatch):
     assert files and all("zstd" in p.name for p in files)
     (unspread,) = [d for d in table._manifest()["deltas"] if d["path"] == "delta/v-1-0"]
     assert len([p for p in (tmp_path / "t" / unspread["path"]).glob("*.parquet")]) == 3
+
+
+def test_replaced_rows_are_written_once_and_checked_first(spark, tmp_path, monkeypatch):
+    """Rows go into the table's own files, keys without rows go, and a failed check or nothing at all leaves no version."""
+    from tidewatch.sources import keyed
+
+    monkeypatch.setattr(keyed, "COMPACT_SHARE", 9)
+    rows_ = lambda keys, v: spark.createDataFrame([(f"k{k}", v) for k in keys], "k string, v int")
+    table = KeyedTable(spark, str(tmp_path / "t"), rows_([1], 1).schema, ["k"], 2, ("v",))
+    held = lambda: {r["k"]: r["v"] for r in table.read().collect()}
+    copies = []
+    stored = table._stored
+    monkeypatch.setattr(table, "_stored", lambda df, path: copies.append((path, df.count())) or stored(df, path))
+    assert table.replace(rows_(range(6), 1))[1] == 6 and copies == []
+    written, n = table.replace(rows_([4, 5, 6], 2))
+    assert n == 3 and copies == [] and sorted(r["k"] for r in written.collect()) == ["k4", "k5", "k6"]
+    written, n = table.replace(rows_([0, 0], 3), rows_([0, 1, 9], 0))  # k1 goes, k9 was never there, k0 has two rows
+    assert n == written.count() == 2 and [c for _, c in copies] == [2, 1]
+    assert held() == {"k0": 3, "k2": 1, "k3": 1, "k4": 2, "k5": 2, "k6": 2} and table.read().count() == 7
+
+    def fails(stored):
+        assert stored.count() == 1
+        raise ValueError("no")
+
+    for call in (lambda: table.replace(rows_([2], 8), None, fails), lambda: table.replace(rows_([], 8)), lambda: table.replace(rows_([], 8), rows_([9], 8))):
+        before = table._manifests()
+        try:
+            assert call()[1] == 0
+        except ValueError:
+            pass
+        assert table._manifests() == before
+    assert table.replace(rows_([], 8), rows_([2], 8))[1] == 0 and "k2" not in held() and table.mark("v") == "3"
+    whole = held()
+    table.compact()
+    assert held() == whole and table.read().count() == 6 and not table._manifest()["deltas"]
+    table.replace(rows_([7, 8], 4))  # only new keys
+    table.compact()
+    assert held() == whole | {"k7": 4, "k8": 4} and table.read().count() == 8
