@@ -665,3 +665,26 @@ def test_replaced_rows_are_written_once_and_checked_first(spark, tmp_path, monke
     table.replace(rows_([7, 8], 4))  # only new keys
     table.compact()
     assert held() == whole | {"k7": 4, "k8": 4} and table.read().count() == 8
+
+
+def test_messages_write_only_what_they_change(spark, tmp_path, monkeypatch):
+    """Creates of held events and deletes of absent ones leave nothing behind; a message is parsed once."""
+    from tidewatch.sources import keyed
+
+    monkeypatch.setattr(keyed, "COMPACT_SHARE", 9)
+    said = lambda *m: spark.createDataFrame(
+        [(i, f'{{"action": "{a}", "data": {{"id": "{k}", "properties": {{"source_id": "{v}"}}}}}}') for i, (a, k, v) in enumerate(m)],
+        "seq long, value string")
+    parsed = lambda *m: readers.parse_event_messages(said(*m), carry=("seq",))
+    table = KeyedTable(spark, str(tmp_path / "t"), parsed(("create", "a", "1")).schema, ["unid"], 2)
+    events.apply_messages(table, parsed(*[("create", k, "1") for k in "abcd"], ("delete", "z", "1")))
+    events.apply_messages(table, parsed(("create", "a", "2"), ("update", "b", "2"), ("delete", "c", "2"), ("delete", "y", "2"), ("create", "e", "2"),
+                                        ("delete", "d", "2"), ("create", "d", "3")))
+    assert {r["unid"]: r["source_id"] for r in table.read().collect()} == {"a": "1", "b": "2", "d": "3", "e": "2"}
+    (delta,) = table._manifest()["deltas"]
+    rows = spark.read.parquet(f"{table.root}/{delta['path']}").select("unid", keyed.GONE).collect()
+    assert sorted(map(tuple, rows)) == [("b", False), ("c", True), ("d", False), ("e", False)]
+    once = readers.parse_event_messages(said(("create", "a", "1"))).filter("action = 'create'")
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    odd = spark.createDataFrame([(0, None), (1, "x"), (2, "[]"), (3, "{}"), (4, '{"data": {}}'), (5, '{"data": {"id": "q"}}')], "seq long, value string")
+    assert [tuple(r) for r in readers.parse_event_messages(odd, carry=("seq",)).select("unid", "action", "seq").collect()] == [("q", "create", 5)]

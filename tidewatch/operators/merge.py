@@ -91,6 +91,18 @@ def apply_effects(target: DataFrame, effects: DataFrame, key: str = "unid") -> D
     return merged.unionByName(target.filter(C(key).isNull()))
 
 
+def changed_rows(target: DataFrame, effects: DataFrame, key: str, gone: str) -> DataFrame:
+    """The rows that :func:`apply_effects` adds or replaces, and with ``gone`` set the keys it removes.
+
+    Of the target only the keys are read, and what stays as it is is not among the rows.
+    """
+    held = target.filter(C(key).isNotNull()).select(C(key).alias("_k"), F.lit(True).alias("_held"))
+    both = effects.join(held, C(key) == C("_k"), "left")
+    there = C("_held").isNotNull()
+    changes = both.filter((C("_effect") == "put") | ((C("_effect") == "add") & ~there) | ((C("_effect") == "drop") & there))
+    return changes.select(*target.columns, (C("_effect") == "drop").alias(gone))
+
+
 def apply_event_actions(target: DataFrame, messages: DataFrame, key: str = "unid", sequence: str = "seq") -> DataFrame:
     """Target after the messages, in sequence order."""
     return apply_effects(target, net_actions(messages, key, sequence), key)

@@ -110,6 +110,7 @@ def parse_event_messages(messages: DataFrame, text: str = "value", carry: tuple[
     Messages without data (or not JSON at all) are dropped; a missing action
     means ``create``. ``carry`` names columns to keep, such as an offset.
     """
-    parsed = messages.withColumn("_m", F.from_json(C(text), schemas.EVENT_MESSAGE)).filter(_has_event("_m"))
+    # as a list of one, since Spark would parse the text again for every condition that it moves below a plain column
+    parsed = messages.select(*carry, F.explode(F.array(F.from_json(C(text), schemas.EVENT_MESSAGE))).alias("_m")).filter(_has_event("_m"))
     action = F.lower(F.coalesce("_m.action", F.lit("create")))
     return parsed.select(*_flat("_m.data.properties", C("_m.data.id"), action), *carry)

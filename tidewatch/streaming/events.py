@@ -19,7 +19,7 @@ from tidewatch.operators.dedup import latest_events
 from tidewatch.operators.filters import drop_soft_deleted, strong_event_alerts
 from tidewatch.plans import silver
 from tidewatch.sources import readers
-from tidewatch.sources.keyed import KeyedTable
+from tidewatch.sources.keyed import GONE, KeyedTable
 
 C = F.col
 
@@ -66,7 +66,7 @@ def apply_messages(
     kept = messages.persist()
     try:
         effects = merge.net_actions(kept, "unid", sequence)
-        return table.merge(effects, lambda target, rows: merge.apply_effects(target, rows, "unid"), source, batch_id)
+        return table.merge(effects, lambda target, rows: merge.changed_rows(target, rows, "unid", GONE), source, batch_id, changes=True)
     finally:
         kept.unpersist()
 
