@@ -97,7 +97,8 @@ def changed_rows(target: DataFrame, effects: DataFrame, key: str, gone: str) ->
     Of the target only the keys are read, and what stays as it is is not among the rows.
     """
     held = target.filter(C(key).isNotNull()).select(C(key).alias("_k"), F.lit(True).alias("_held"))
-    both = effects.join(held, C(key) == C("_k"), "left")
+    # one column of a compressed table looks small enough to broadcast long after it isn't
+    both = effects.join(held.hint("merge"), C(key) == C("_k"), "left")
     there = C("_held").isNotNull()
     changes = both.filter((C("_effect") == "put") | ((C("_effect") == "add") & ~there) | ((C("_effect") == "drop") & there))
     return changes.select(*target.columns, (C("_effect") == "drop").alias(gone))
