@@ -187,3 +187,32 @@ def test_keys_are_looked_up_before_pairing(spark, monkeypatch):
     # nothing is shuffled or sorted once there are pairs
     above = keyed._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin [_cell")[0]
     assert "Exchange" not in above and "Sort [" not in above and "Join" not in above
+
+
+def test_recent_events_are_joined_before_pairing(spark):
+    from tidewatch.operators import aggregates
+    from tidewatch.plans import gold
+
+    # ids come twice, without a time, long ago and as NULL
+    known = [("e1", "2024-01-30", 1.0), ("e1", "2024-01-29", 2.0), ("e1", "2023-01-01", 3.0), ("e2", "2023-01-01", 4.0),
+             (None, "2024-01-30", 5.0), ("e3", None, 6.0), ("e4", "2024-01-17", 7.0)]
+    events = spark.createDataFrame([(i, m, 10.0, 0.0, float(n) / 10, when) for n, (i, when, m) in enumerate(known)],
+                                   "EVENT_ID string, MAGNITUDE double, DEPTH_KM double, LATITUDE double, LONGITUDE double, at string")
+    events = events.withColumn("EARTHQUAKE_TIME", C("at").cast("timestamp"))
+    ports = spark.createDataFrame([(1.0, "A", 0.1, 0.1, True), (2.0, "A", 1.0, 1.0, True), (3.0, "B", 4.0, 0.0, True), (4.0, "C", 60.0, 0.0, True)],
+                                  "WORLD_PORT_INDEX_NUMBER double, MAIN_PORT_NAME string, LATITUDE double, LONGITUDE double, IS_VALID_COORDINATES boolean")
+    pair = lambda e: gold.gold_seismic_port_proximity(e, ports)
+    as_of = "2024-01-31 00:00:00"
+    made, stored = (aggregates.recent_pairs(p, events, as_of) for p in (pair, pair(events)))
+    assert rows(made) == rows(stored.select(made.columns)) and made.count() == (3 * 2 + 1) * 3
+    risk = [aggregates.max_port_risk(p, events, as_of) for p in (pair, pair(events))]
+    assert rows(risk[0]) == rows(risk[1]) and risk[0].count() == 2
+
+
+@pytest.mark.parametrize("name, shuffles", [("g3_max_port_risk", 1)])
+def test_pairs_are_not_joined_by_event(spark, name, shuffles):
+    from tidewatch.registry import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("SortMergeJoin [_cell")[0]
+    assert above.count("Exchange") == shuffles and "Join" not in above

@@ -6,6 +6,7 @@ shuffle, and the rolling window runs on rows already reduced to region-days.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
@@ -15,6 +16,7 @@ from tidewatch import fixed
 from tidewatch.functions.seismic import intensity_bucket
 from tidewatch.functions.text import parse_best_effort
 from tidewatch.operators.filters import within_lookback
+from tidewatch.operators.joins import dimension_join
 
 C = F.col
 
@@ -47,10 +49,25 @@ def rolling_rows_avg(stats: DataFrame, rows: int = fixed.ROLLING_ROWS, calendar:
     return stats.withColumn("ROLLING_7D_AVG_EVENTS", F.avg("TOTAL_EVENTS").over(frame))
 
 
-def max_port_risk(proximity: DataFrame, events: DataFrame, as_of: str, days: int = fixed.RISK_LOOKBACK_DAYS) -> DataFrame:
-    """Highest risk per port name over the events of the last days."""
+Pairs = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def recent_pairs(proximity: Pairs, events: DataFrame, as_of: str, days: int = fixed.RISK_LOOKBACK_DAYS) -> DataFrame:
+    """Event-port pairs joined by id with the events of the last days.
+
+    ``proximity`` holds the pairs, or makes those of the events it is given. Then the events are joined before they are
+    paired, which gives the same rows: pairs, which grow with the square of the size, are not shuffled.
+    """
     recent = within_lookback(events.select("EVENT_ID", "EARTHQUAKE_TIME"), "EARTHQUAKE_TIME", as_of, days)
-    return risk_by_port(proximity.join(recent, "EVENT_ID", "inner"))
+    if isinstance(proximity, DataFrame):
+        return proximity.join(recent, "EVENT_ID", "inner")
+    # merged, as both sides come sorted by id from the choice of the last versions
+    return proximity(dimension_join(events, recent.select("EVENT_ID"), ["EVENT_ID"], "inner", hint="merge"))
+
+
+def max_port_risk(proximity: Pairs, events: DataFrame, as_of: str, days: int = fixed.RISK_LOOKBACK_DAYS) -> DataFrame:
+    """Highest risk per port name over the events of the last days."""
+    return risk_by_port(recent_pairs(proximity, events, as_of, days))
 
 
 def risk_by_port(proximity: DataFrame) -> DataFrame:

@@ -607,9 +607,9 @@ def g1(spark, sf_dir):
 
 @query("g3_max_port_risk", "SELECT PORT_NAME, MAX_RISK_SCORE FROM r_risk")
 def g3(spark, sf_dir):
-    """Highest recent risk per port name, from stored pairs and events."""
+    """Highest recent risk per port name, from pairs and events joined by id."""
     d = Domain(spark, sf_dir)
-    return aggregates.max_port_risk(d.proximity(), d.gold_events(), A.AS_OF)
+    return aggregates.max_port_risk(d.proximity_of, d.gold_events(), A.AS_OF)
 
 
 @query("g3_recent_port_risk", "SELECT PORT_NAME, MAX_RISK_SCORE FROM r_risk")

@@ -96,7 +96,10 @@ class Domain:
 
     @once
     def proximity(self):
-        return gold.gold_seismic_port_proximity(self.gold_events(), self.silver_ports())
+        return self.proximity_of(self.gold_events())
+
+    def proximity_of(self, events):
+        return gold.gold_seismic_port_proximity(events, self.silver_ports())
 
     @once
     def daily(self):
