@@ -209,7 +209,7 @@ def test_recent_events_are_joined_before_pairing(spark):
     assert rows(risk[0]) == rows(risk[1]) and risk[0].count() == 2
 
 
-@pytest.mark.parametrize("name, shuffles", [("g3_max_port_risk", 1)])
+@pytest.mark.parametrize("name, shuffles", [("j7_recent_proximity", 0), ("g3_max_port_risk", 1)])
 def test_pairs_are_not_joined_by_event(spark, name, shuffles):
     from tidewatch.registry import QUERIES
 

@@ -520,8 +520,7 @@ def j6(spark, sf_dir):
 def j7(spark, sf_dir):
     """Pairs of recent events."""
     d = Domain(spark, sf_dir)
-    recent = filters.within_lookback(d.gold_events().select("EVENT_ID", "EARTHQUAKE_TIME"), "EARTHQUAKE_TIME", A.AS_OF)
-    return d.proximity().join(recent, "EVENT_ID").select("PROXIMITY_ID", "RISK_SCORE")
+    return aggregates.recent_pairs(d.proximity_of, d.gold_events(), A.AS_OF).select("PROXIMITY_ID", "RISK_SCORE")
 
 
 @query("j8_attach_risk", "SELECT WORLD_PORT_INDEX_NUMBER, MAIN_PORT_NAME, RISK AS MAX_RISK_SCORE FROM r_ports")
