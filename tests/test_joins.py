@@ -99,6 +99,13 @@ def test_grid_join_equals_all_pairs(spark, radius, hint):
     assert got == expected
 
 
+def test_ports_are_not_broadcast_once_per_cell(spark):
+    events = spark.createDataFrame([(1, 0.0, 0.0)], "e int, LATITUDE double, LONGITUDE double")
+    side = spark.createDataFrame([(1, 0.0, 0.0)], "p int, PORT_LATITUDE double, PORT_LONGITUDE double")
+    plan = proximity_join(events, side)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_cell" in plan and "Broadcast" not in plan
+
+
 def test_points_outside_the_range_have_no_pair(spark):
     events = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 0.0)], "e int, LATITUDE double, LONGITUDE double")
     side = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 999.0)], "p int, PORT_LATITUDE double, PORT_LONGITUDE double")
