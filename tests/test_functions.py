@@ -245,3 +245,12 @@ def test_calendar(spark):
     assert days.count() == 730
     last = days.orderBy(F.col("DATE_SK").desc()).first()
     assert (last["DATE_SK"], last["DAY_NAME"], last["MONTH_NAME"], last["WEEK_OF_YEAR"]) == (20261231, "Thu", "Dec", 53)
+
+
+def test_tenths_equal_round(spark):
+    from tidewatch.functions.seismic import tenths
+
+    ties = [(n + 0.5) / 10 * s for n in range(0, 1200, 7) for s in (1, -1, 1 + 2e-16, 1 - 2e-16)]
+    odd = [None, float("nan"), float("inf"), -float("inf"), -0.0, -0.01, 1e300, -1e300, 1e9, 123456789.05, 5e15 + 0.5]
+    df = spark.createDataFrame([(x,) for x in ties + odd + [n / 37 for n in range(-400, 3700)]], "x double")
+    assert df.filter(~tenths(F.col("x")).eqNullSafe(F.round("x", 1))).count() == 0

@@ -99,6 +99,28 @@ def test_grid_join_equals_all_pairs(spark, radius, hint):
     assert got == expected
 
 
+@pytest.mark.parametrize("radius", [0.001, 1.0, 500.0, 12_000.0, 20_015.0, 25_000.0])
+def test_chord_test_equals_distance_test(spark, radius):
+    from tidewatch.functions.geo import Reach, haversine_km
+
+    rng, pairs = random.Random(3), []
+    for i in range(3000):
+        lat, lon = rng.choice([rng.uniform(-89, 89), 0.0, 90.0, -90.0]), rng.uniform(-180, 180)
+        # another point in the same or the opposite meridian, around the radius to the last digits
+        turn = math.degrees(radius / 6371) * rng.choice([1, 1 + 1e-15, 1 - 1e-15, 1 + 1e-10, 1 - 1e-10, 1.001, 0.999, rng.uniform(0, 2)])
+        far = rng.choice([0, 0, 0, 0, 360, -720, 1e6, 1e17])
+        pairs.append((lat, lon + far, max(-90.0, min(90.0, lat + rng.choice([-1, 1]) * turn)), lon))
+    pairs += [(0.0, v, 0.0, 0.0) for v in (float("nan"), float("inf"), -180.0)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
+    reach, distance = Reach(radius), haversine_km(C("a"), C("b"), C("c"), C("d"))
+    near = reach.holds(reach.place(C("a"), C("b")), reach.place(C("c"), C("d")), distance)
+    assert df.filter(~near.eqNullSafe(distance <= radius)).count() == 0
+    # the great circle is asked for the edge and for longitudes out of range only
+    asked = df.filter("abs(b) < 1000").filter(near & ~reach.holds(reach.place(C("a"), C("b")), reach.place(C("c"), C("d")), F.lit(1e9)))
+    if radius == 500.0:
+        assert 0 < asked.count() < df.filter("abs(b) < 1000").filter(near).count() * 0.9
+
+
 def test_ports_are_not_broadcast_once_per_cell(spark):
     events = spark.createDataFrame([(1, 0.0, 0.0)], "e int, LATITUDE double, LONGITUDE double")
     side = spark.createDataFrame([(1, 0.0, 0.0)], "p int, PORT_LATITUDE double, PORT_LONGITUDE double")

@@ -40,6 +40,13 @@ def intensity_bucket(mag: Column) -> Column:
     return first_true(*cases, default=fixed.INTENSITY_TOP_BUCKET)
 
 
+def tenths(x: Column) -> Column:
+    """``round(x, 1)``, which goes by way of decimal text; that is needed only near a tie and for large values."""
+    shifted = x * 10
+    plain = (F.abs(x) < 1e9) & (F.abs(shifted - F.floor(shifted) - 0.5) > 1e-6)
+    return F.when(plain, F.floor(shifted + 0.5) / 10).otherwise(F.round(x, 1))
+
+
 def risk_score(mag: Column, depth_km: Column, distance_km: Column) -> Column:
     """0-100 risk of an event to a port, one decimal; NULL magnitude gives NULL.
 
@@ -49,7 +56,7 @@ def risk_score(mag: Column, depth_km: Column, distance_km: Column) -> Column:
     focus = first_true((depth_km < 70, 30.0), (depth_km <= 300, 15.0), default=5.0)
     closeness = F.greatest(F.lit(0.0), (fixed.PROXIMITY_KM - distance_km) / fixed.PROXIMITY_KM) * 30
     total = mag / 10.0 * 40 + focus + closeness
-    return F.when(mag.isNotNull() & distance_km.isNotNull(), F.round(F.least(F.lit(100.0), total), 1))
+    return F.when(mag.isNotNull() & distance_km.isNotNull(), tenths(F.least(F.lit(100.0), total)))
 
 
 def daily_risk_level(max_mag: Column, intensity: Column, events: Column, rolling: Column) -> Column:

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions.geo import Grid, haversine_km
+from tidewatch.functions.geo import Grid, Reach, haversine_km
 from tidewatch.operators.joins import dimension_join
 
 C = F.col
 
+_EVENT_PLACE, _PORT_PLACE = ["_x", "_y", "_z"], ["_port_x", "_port_y", "_port_z"]
+
 
 def proximity_join(
     events: DataFrame, ports: DataFrame, radius_km: float = fixed.PROXIMITY_KM, hint: str | None = "merge"
@@ -27,13 +29,22 @@ def proximity_join(
     So by default both sides are sorted by cell and merged, and crowded cells are split at run time; a cell's pairs then lie
     together, which also stores them in fewer bytes. Without a ``hint`` Spark chooses, for ports that are known to be few.
     """
-    grid = Grid(radius_km)
+    grid, reach = Grid(radius_km), Reach(radius_km)
     event_valid = C("LATITUDE").between(-90, 90) & C("LONGITUDE").isNotNull()
     port_valid = C("PORT_LATITUDE").between(-90, 90) & C("PORT_LONGITUDE").between(-180, 180)
-    placed = events.filter(event_valid).withColumn("_cell", grid.cells_of_point(C("LATITUDE"), C("LONGITUDE")))
-    listed = ports.filter(port_valid).withColumn(
-        "_cell", F.explode(grid.cells_of_cap(C("PORT_LATITUDE"), C("PORT_LONGITUDE")))
+    placed = events.filter(event_valid).withColumns(
+        {
+            "_cell": grid.cells_of_point(C("LATITUDE"), C("LONGITUDE")),
+            **dict(zip(_EVENT_PLACE, reach.place(C("LATITUDE"), C("LONGITUDE")), strict=True)),
+        }
+    )
+    listed = ports.filter(port_valid).withColumns(
+        {
+            "_cell": F.explode(grid.cells_of_cap(C("PORT_LATITUDE"), C("PORT_LONGITUDE"))),
+            **dict(zip(_PORT_PLACE, reach.place(C("PORT_LATITUDE"), C("PORT_LONGITUDE")), strict=True)),
+        }
     )
     distance = haversine_km(C("LATITUDE"), C("LONGITUDE"), C("PORT_LATITUDE"), C("PORT_LONGITUDE"))
-    pairs = dimension_join(placed, listed, ["_cell"], "inner", residual=distance <= radius_km, hint=hint)
-    return pairs.drop("_cell").withColumn("DISTANCE_KM", distance)
+    near = reach.holds([C(c) for c in _EVENT_PLACE], [C(c) for c in _PORT_PLACE], distance)
+    pairs = dimension_join(placed, listed, ["_cell"], "inner", residual=near, hint=hint)
+    return pairs.drop("_cell", *_EVENT_PLACE, *_PORT_PLACE).withColumn("DISTANCE_KM", distance)
